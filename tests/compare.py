@@ -1,0 +1,62 @@
+"""Run a query on Spark and its SQL on DuckDB, and compare every value."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+FAMILIES = {
+    "tinyint": "int",
+    "smallint": "int",
+    "int": "int",
+    "integer": "int",
+    "bigint": "int",
+    "double": "float",
+    "float": "float",
+    "string": "text",
+    "varchar": "text",
+    "boolean": "bool",
+}
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    return con
+
+
+def _value(v):
+    if isinstance(v, float):
+        return "NaN" if math.isnan(v) else repr(v + 0.0)
+    return repr(v)
+
+
+def _bag(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return Counter(tuple(_value(r[i]) for i in order) for r in rows)
+
+
+def differences(df, con, sql: str) -> list[str]:
+    """What differs between the frame and the SQL result; empty if they agree."""
+    relation = con.sql(sql)
+    expected = relation.fetchall()
+    types = {c: FAMILIES.get(str(t).lower(), str(t)) for c, t in zip(relation.columns, relation.types)}
+    mine = {c: FAMILIES.get(t, t) for c, t in df.dtypes}
+    if types != mine:
+        return [f"columns: spark {mine}, sql {types}"]
+    got, want = _bag(df.columns, df.collect()), _bag(relation.columns, expected)
+    notes = []
+    if sum(got.values()) != sum(want.values()):
+        notes.append(f"rows: spark {sum(got.values())}, sql {sum(want.values())}")
+    if got != want:
+        notes.append(f"only spark: {list((got - want).items())[:2]}")
+        notes.append(f"only sql: {list((want - got).items())[:2]}")
+    return notes
