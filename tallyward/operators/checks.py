@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,10 +28,6 @@ def long_metrics(wide: DataFrame, table_name: str, run_ts: Column | None = None)
     )
 
 
-def _count_if(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
 def _sum_or_zero(name: str) -> Column:
     return F.coalesce(F.sum(F.col(f"`{name}`")), F.lit(0))
 
@@ -42,8 +39,8 @@ def layer_metrics(entity: Entity, flagged: DataFrame, run_ts: Column | None = No
     """
     wide = flagged.agg(
         _sum_or_zero(COPIES).alias("total_records"),
-        _count_if(F.col("dq_is_valid") == 1).alias("valid_records"),
-        _count_if(F.col("dq_is_valid") == 0).alias("quarantine_records"),
+        F.count_if(F.col("dq_is_valid") == 1).alias("valid_records"),
+        F.count_if(F.col("dq_is_valid") == 0).alias("quarantine_records"),
         (_sum_or_zero(COPIES) - F.count("*")).alias(entity.duplicates_metric),
     )
     return long_metrics(wide, entity.name, run_ts)
@@ -52,8 +49,8 @@ def layer_metrics(entity: Entity, flagged: DataFrame, run_ts: Column | None = No
 def unified_metrics(flagged: DataFrame, run_ts: Column | None = None) -> DataFrame:
     wide = flagged.agg(
         F.count("*").alias("total_records"),
-        _count_if(F.col(UNIFIED_VALID) == 1).alias("valid_records"),
-        _count_if(F.col(UNIFIED_VALID) == 0).alias("quarantine_records"),
+        F.count_if(F.col(UNIFIED_VALID) == 1).alias("valid_records"),
+        F.count_if(F.col(UNIFIED_VALID) == 0).alias("quarantine_records"),
     )
     return long_metrics(wide, "unified_claims", run_ts)
 
@@ -122,37 +119,36 @@ PREDICTION_CHECKS = CheckSuite(
 )
 
 
-def _key_sums(df: DataFrame, key: str, tests: dict[str, Column]) -> DataFrame:
-    """Rows per key, and per key how many rows meet each test."""
-    return df.groupBy(F.col(key).alias("key")).agg(
-        F.count("*").alias("rows"), *[_count_if(test).alias(name) for name, test in tests.items()]
+def _duplicate_keys(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Number of keys with more than one row; a repeated null key is one key."""
+    return df.groupBy(key).agg(F.count("*").alias("rows")).agg(
+        F.count_if(F.col("rows") > 1).alias(name)
     )
 
 
 def run_checks(df: DataFrame, suite: CheckSuite, run_ts: Column | None = None) -> DataFrame:
-    """All checks of the suite from one scan and one shuffle.
+    """All checks of the suite from two scans.
 
-    Counting per key first answers the duplicate check; the other counts ride along and are added
-    up afterwards. A repeated null key is one duplicate key.
+    Every count of rows comes from one aggregate that shuffles one row per task. Only the search
+    for repeated keys moves data, and only the key column, counted within each task first.
     """
-    nulls = {f"null_count_{c}": F.col(c).isNull() for c in suite.required}
-    below = {f"negative_value_count_{c}": F.col(c) < 0 for c in suite.non_negative}
-    off = {f"invalid_ratio_count_{c}": outside(c, 0, 1)() for c in suite.ratios}
-    keys = _key_sums(df, suite.primary_key, nulls | below | off)
-    total = _sum_or_zero("rows")
+    key, total = suite.primary_key, F.count("*")
     metrics = [
         total.alias("total_records"),
-        _count_if(F.col("rows") > 1).alias("duplicate_primary_key_count"),
-        F.coalesce(F.sum(F.when(F.col("key").isNull(), F.col("rows"))), F.lit(0)).alias(
-            "missing_primary_key_count"
-        ),
+        F.count_if(F.col(key).isNull()).alias("missing_primary_key_count"),
     ]
     for c in suite.required:
-        count = _sum_or_zero(f"null_count_{c}")
+        count = F.count_if(F.col(c).isNull())
         share = F.coalesce(F.try_divide(count, total) * 100, F.lit(0.0))
         metrics += [count.alias(f"null_count_{c}"), share.alias(f"null_percent_{c}")]
-    metrics += [_sum_or_zero(name).alias(name) for name in below | off]
-    return long_metrics(keys.agg(*metrics), suite.table_name, run_ts)
+    for c in suite.non_negative:
+        metrics.append(F.count_if(F.col(c) < 0).alias(f"negative_value_count_{c}"))
+    for c in suite.ratios:
+        metrics.append(F.count_if(outside(c, 0, 1)()).alias(f"invalid_ratio_count_{c}"))
+    duplicates = _duplicate_keys(df, key, "duplicate_primary_key_count")
+    return long_metrics(df.agg(*metrics), suite.table_name, run_ts).unionByName(
+        long_metrics(duplicates, suite.table_name, run_ts)
+    )
 
 
 GOLD_TABLE = "gold_provider_features"
@@ -160,29 +156,18 @@ GOLD_TABLE = "gold_provider_features"
 
 def validate_features(features: DataFrame, run_ts: Column | None = None) -> DataFrame:
     """The six gold checks. A row with several ratios off counts once."""
-    off = None
-    for c in RATIOS:
-        off = outside(c, 0, 1)() if off is None else off | outside(c, 0, 1)()
-    keys = _key_sums(
-        features,
-        "Provider",
-        {
-            "unlabelled": F.col("fraud_label").isNull(),
-            "negative": F.col("total_claims") < 0,
-            "off": off,
-        },
+    off = reduce(Column.__or__, [outside(c, 0, 1)() for c in RATIOS])
+    wide = features.agg(
+        F.count("*").alias("total_records"),
+        F.count_if(F.col("Provider").isNull()).alias("missing_provider"),
+        F.count_if(F.col("fraud_label").isNull()).alias("missing_fraud_label"),
+        F.count_if(F.col("total_claims") < 0).alias("negative_total_claims"),
+        F.count_if(off).alias("invalid_ratio_values"),
     )
-    wide = keys.agg(
-        _sum_or_zero("rows").alias("total_records"),
-        F.coalesce(F.sum(F.when(F.col("key").isNull(), F.col("rows"))), F.lit(0)).alias(
-            "missing_provider"
-        ),
-        _sum_or_zero("unlabelled").alias("missing_fraud_label"),
-        _count_if(F.col("rows") > 1).alias("duplicate_provider"),
-        _sum_or_zero("negative").alias("negative_total_claims"),
-        _sum_or_zero("off").alias("invalid_ratio_values"),
+    duplicates = _duplicate_keys(features, "Provider", "duplicate_provider")
+    return long_metrics(wide, GOLD_TABLE, run_ts).unionByName(
+        long_metrics(duplicates, GOLD_TABLE, run_ts)
     )
-    return long_metrics(wide, GOLD_TABLE, run_ts)
 
 
 def label_distribution(features: DataFrame, run_ts: Column | None = None) -> DataFrame:

@@ -74,7 +74,7 @@ def stable(df: DataFrame) -> DataFrame:
 
 
 def raw(entity: silver.Entity, spark, sf_dir, grain=SUPPLIER) -> DataFrame:
-    return derived.bronze_tables(spark, sf_dir, grain)[entity.raw]
+    return derived.bronze_table(spark, sf_dir, entity.raw, grain)
 
 
 def clean(entity, spark, sf_dir, grain=SUPPLIER) -> DataFrame:

@@ -15,6 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows out to all cores if the source has fewer splits than there are cores.
+
+    A small file with a single row group is one task whatever its size. Tables of ordinary size
+    have more splits than cores and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _text(prefix: str, *parts: Column) -> Column:
     return F.concat(F.lit(prefix), *parts)
 
@@ -24,7 +34,7 @@ def _days_after(day: Column, days: Column) -> Column:
 
 
 def _claims(spark: SparkSession, sf_dir: str, status: str, provider: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == status)
+    lines = spread(table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == status))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     day = F.col("l_shipdate").cast("date")
     amount = F.col("l_extendedprice") / 10
@@ -88,13 +98,31 @@ def provider_labels(spark: SparkSession, sf_dir: str, provider: str = SUPPLIER_G
     )
 
 
+def bronze_table(
+    spark: SparkSession, sf_dir: str, name: str, provider: str = SUPPLIER_GRAIN
+) -> DataFrame:
+    """One raw table by name."""
+    if name == "bronze.beneficiarydata":
+        return beneficiaries(spark, sf_dir)
+    if name == "bronze.inpatientdata":
+        return inpatient(spark, sf_dir, provider)
+    if name == "bronze.outpatientdata":
+        return outpatient(spark, sf_dir, provider)
+    if name == "bronze.provider":
+        return provider_labels(spark, sf_dir, provider)
+    raise KeyError(name)
+
+
+BRONZE = (
+    "bronze.beneficiarydata",
+    "bronze.inpatientdata",
+    "bronze.outpatientdata",
+    "bronze.provider",
+)
+
+
 def bronze_tables(
     spark: SparkSession, sf_dir: str, provider: str = SUPPLIER_GRAIN
 ) -> dict[str, DataFrame]:
     """The four raw tables by name."""
-    return {
-        "bronze.beneficiarydata": beneficiaries(spark, sf_dir),
-        "bronze.inpatientdata": inpatient(spark, sf_dir, provider),
-        "bronze.outpatientdata": outpatient(spark, sf_dir, provider),
-        "bronze.provider": provider_labels(spark, sf_dir, provider),
-    }
+    return {name: bronze_table(spark, sf_dir, name, provider) for name in BRONZE}
