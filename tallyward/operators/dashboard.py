@@ -52,8 +52,10 @@ def quarantine_metrics(history: DataFrame) -> DataFrame:
 
 
 def null_percentages(history: DataFrame) -> DataFrame:
+    """Null shares, largest first. The prefix before the wildcard ``_`` can go to the scan."""
+    name = F.col("metric_name")
     return (
-        history.filter(F.col("metric_name").like("null_percent%"))
+        history.filter(name.startswith("null") & name.like("null_percent%"))
         .select(*METRIC_KEYS, "metric_value")
         .orderBy(F.col("metric_value").desc(), *METRIC_KEYS)
     )
@@ -61,7 +63,8 @@ def null_percentages(history: DataFrame) -> DataFrame:
 
 def label_metrics(history: DataFrame) -> DataFrame:
     """Label counts. In the pattern ``_`` stands for any one character."""
-    return history.filter(F.col("metric_name").like("fraud_label_%")).select(
+    name = F.col("metric_name")
+    return history.filter(name.startswith("fraud") & name.like("fraud_label_%")).select(
         "metric_name", "metric_value"
     )
 
