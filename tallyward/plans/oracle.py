@@ -517,6 +517,8 @@ UNIFIED_METRICS = long_sql(
 )
 define("a09_append", f"SELECT {show(METRIC)} FROM ({ENTITY_METRICS})")
 
+define("a10_declared_table", f"SELECT {show(FEATURE)} FROM gold")
+
 COPIES = [("dq_source_rows", BIG)]
 define("b01_dedupe_beneficiary", f"SELECT {show(BENE_RAW)} FROM bene_once")
 define("b01_dedupe_inpatient", f"SELECT {show(INP_RAW + COPIES)} FROM inp_once")

@@ -13,7 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 
 from tallyward.operators import checks, dashboard, features, modeling, scoring, silver
-from tallyward.sources.contracts import contract
+from tallyward.sources.contracts import conform, contract
 from tallyward.sources.store import TableStore
 
 HISTORY = "quality.data_quality_metrics"
@@ -134,9 +134,8 @@ class Batch:
     # scoring -----------------------------------------------------------------
 
     def score(self) -> None:
-        scored = scoring.score_providers(
-            self.champion_model(), self.store.read(FEATURES), self.run_ts
-        )
+        table = conform(self.store.read(FEATURES), contract(FEATURES))
+        scored = scoring.score_providers(self.champion_model(), table, self.run_ts)
         stored = self.store.overwrite(scored, PREDICTIONS)
         self.store.overwrite_checked(
             scoring.add_prompts(stored),

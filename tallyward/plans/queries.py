@@ -127,6 +127,16 @@ def gold(spark, sf_dir, grain=SUPPLIER, **options) -> DataFrame:
     )
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write a table that is about to be scanned more than once, and read it back."""
+    spark = df.sparkSession
+    return TableStore(spark, shared_folder(spark)).overwrite(df, "scratch.table")
+
+
+def stored_gold(spark, sf_dir, grain=PART, **options) -> DataFrame:
+    return stored(gold(spark, sf_dir, grain, **options))
+
+
 def totals(spark, sf_dir) -> DataFrame:
     return features.provider_totals(
         features.claim_indicators(claims(spark, sf_dir)), valid(silver.BENEFICIARY, spark, sf_dir)
@@ -143,27 +153,31 @@ def formula_scores(table: DataFrame, score: Column) -> DataFrame:
     )
 
 
-def predictions(spark, sf_dir, grain=PART) -> DataFrame:
+def predictions_of(table: DataFrame) -> DataFrame:
     score = F.least(
         F.lit(1.0),
         0.7 * F.col("high_reimbursement_claim_ratio") + 0.3 * F.col("inpatient_claim_ratio"),
     )
-    return formula_scores(gold(spark, sf_dir, grain), score)
+    return formula_scores(table, score)
 
 
-def faulty_predictions(spark, sf_dir) -> DataFrame:
+def predictions(spark, sf_dir) -> DataFrame:
+    return predictions_of(gold(spark, sf_dir, PART))
+
+
+def faulty_predictions_of(table: DataFrame) -> DataFrame:
     """Predictions of which some are out of range, missing or negative."""
     score = F.when(
         F.col("unique_beneficiaries") % 7 != 0,
         2 * F.col("high_reimbursement_claim_ratio") - 0.5 * F.col("inpatient_claim_ratio"),
     )
-    table = gold(spark, sf_dir, PART).withColumn(
-        "avg_reimbursement_amount",
-        F.when(F.col("inpatient_claims") == 5, -F.col("avg_reimbursement_amount")).otherwise(
-            F.col("avg_reimbursement_amount")
-        ),
-    )
-    return formula_scores(table, score)
+    amount = F.col("avg_reimbursement_amount")
+    negated = F.when(F.col("inpatient_claims") == 5, -amount).otherwise(amount)
+    return formula_scores(table.withColumn("avg_reimbursement_amount", negated), score)
+
+
+def faulty_predictions(spark, sf_dir) -> DataFrame:
+    return faulty_predictions_of(gold(spark, sf_dir, PART))
 
 
 def quarantine(spark, sf_dir) -> DataFrame:
@@ -207,7 +221,7 @@ def yearly_history(spark, sf_dir) -> DataFrame:
 
 def history(spark, sf_dir) -> DataFrame:
     """Past runs, the checks of this run, and a label distribution that was appended twice."""
-    table = gold(spark, sf_dir)
+    table = stored_gold(spark, sf_dir, SUPPLIER)
     labels = checks.label_distribution(table, run_ts())
     parts = [
         yearly_history(spark, sf_dir),
@@ -332,6 +346,12 @@ def a09(spark, sf_dir):
     return store.read(name)
 
 
+@query("a10_declared_table")
+def a10(spark, sf_dir):
+    store, name = TableStore(spark, shared_folder(spark)), "gold.provider_fraud_features"
+    return store.append(gold(spark, sf_dir), name, contract(name))
+
+
 @query("b01_dedupe_beneficiary")
 def b01_beneficiary(spark, sf_dir):
     return dedupe(raw(BENE, spark, sf_dir), "BeneID")
@@ -673,27 +693,26 @@ CLAIM_SUITE = checks.CheckSuite(
 
 @query("e01_claim_checks")
 def e01(spark, sf_dir):
-    return checks.run_checks(unified_unsplit(spark, sf_dir), CLAIM_SUITE, run_ts())
+    return checks.run_checks(stored(unified_unsplit(spark, sf_dir)), CLAIM_SUITE, run_ts())
 
 
 @query("e02_feature_checks")
 def e02(spark, sf_dir):
-    return checks.run_checks(gold(spark, sf_dir, PART), checks.FEATURE_CHECKS, run_ts())
+    return checks.run_checks(stored_gold(spark, sf_dir), checks.FEATURE_CHECKS, run_ts())
 
 
 @query("e03_prediction_checks")
 def e03(spark, sf_dir):
-    return checks.run_checks(
-        faulty_predictions(spark, sf_dir), checks.PREDICTION_CHECKS, run_ts()
-    )
+    scores = stored(faulty_predictions(spark, sf_dir))
+    return checks.run_checks(scores, checks.PREDICTION_CHECKS, run_ts())
 
 
 @query("e04_metric_union")
 def e04(spark, sf_dir):
-    return checks.run_checks(
-        gold(spark, sf_dir, PART), checks.FEATURE_CHECKS, run_ts()
-    ).unionByName(
-        checks.run_checks(faulty_predictions(spark, sf_dir), checks.PREDICTION_CHECKS, run_ts())
+    table = stored_gold(spark, sf_dir)
+    scores = faulty_predictions_of(table)
+    return checks.run_checks(table, checks.FEATURE_CHECKS, run_ts()).unionByName(
+        checks.run_checks(scores, checks.PREDICTION_CHECKS, run_ts())
     )
 
 
@@ -714,7 +733,7 @@ def e07(spark, sf_dir):
 
 @query("e08_gold_validation")
 def e08(spark, sf_dir):
-    return checks.validate_features(gold(spark, sf_dir, PART, fill_label=False), run_ts())
+    return checks.validate_features(stored_gold(spark, sf_dir, fill_label=False), run_ts())
 
 
 @query("e09_label_distribution")
@@ -755,7 +774,7 @@ def f02(spark, sf_dir):
 
 @query("f02_split_exact")
 def f02_exact(spark, sf_dir):
-    frame = modeling.model_frame(gold(spark, sf_dir, PART))
+    frame = modeling.model_frame(stored_gold(spark, sf_dir))
     return modeling.split_rows(frame, exact=True).groupBy("split", modeling.LABEL).count()
 
 
@@ -793,13 +812,13 @@ def f07(spark, sf_dir):
 
 @query("f08_roc_auc")
 def f08(spark, sf_dir):
-    area = modeling.roc_auc(predictions(spark, sf_dir))
+    area = modeling.roc_auc(predictions_of(stored_gold(spark, sf_dir)))
     return spark.createDataFrame([(area,)], "roc_auc double")
 
 
 @query("f09_class_balance")
 def f09(spark, sf_dir):
-    frame = modeling.model_frame(gold(spark, sf_dir, PART))
+    frame = modeling.model_frame(stored_gold(spark, sf_dir))
     return modeling.class_balance(modeling.split_rows(frame, exact=True))
 
 
@@ -875,9 +894,8 @@ def g05(spark, sf_dir):
 
 @query("g05_concentrated_scored")
 def g05_scored(spark, sf_dir):
-    return analyst.concentrated_providers(
-        gold(spark, sf_dir, PART), predictions(spark, sf_dir)
-    )
+    table = stored_gold(spark, sf_dir)
+    return analyst.concentrated_providers(table, predictions_of(table))
 
 
 @query("g06_feature_importance")
@@ -909,7 +927,7 @@ def g10(spark, sf_dir):
 
 @query("i02_aggregate_consistency")
 def i02(spark, sf_dir):
-    fresh = gold(spark, sf_dir, PART)
+    fresh = stored_gold(spark, sf_dir)
     stale = fresh.withColumn(
         "total_claims", F.col("total_claims") + S.flag(F.col("inpatient_claims") == 4)
     ).filter(F.col("outpatient_claims") != 3)
@@ -923,8 +941,10 @@ def i03(spark, sf_dir):
 
 @query("i04_investigation_context")
 def i04(spark, sf_dir):
+    table = stored_gold(spark, sf_dir)
+    scores = faulty_predictions_of(table)
     return investigation.investigation_context(
-        gold(spark, sf_dir, PART), faulty_predictions(spark, sf_dir), quarantine(spark, sf_dir)
+        table, scores, checks.quarantine_predictions(scores, run_ts())
     )
 
 

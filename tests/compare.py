@@ -12,17 +12,13 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
-FAMILIES = {
-    "tinyint": "int",
-    "smallint": "int",
-    "int": "int",
-    "integer": "int",
-    "bigint": "int",
-    "double": "float",
-    "float": "float",
-    "string": "text",
-    "varchar": "text",
-    "boolean": "bool",
+# Spark type -> DuckDB type
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
 }
 
 
@@ -48,8 +44,8 @@ def differences(df, con, sql: str) -> list[str]:
     """What differs between the frame and the SQL result; empty if they agree."""
     relation = con.sql(sql)
     expected = relation.fetchall()
-    types = {c: FAMILIES.get(str(t).lower(), str(t)) for c, t in zip(relation.columns, relation.types)}
-    mine = {c: FAMILIES.get(t, t) for c, t in df.dtypes}
+    types = {c: str(t) for c, t in zip(relation.columns, relation.types)}
+    mine = {c: TYPES.get(t, t) for c, t in df.dtypes}
     if types != mine:
         return [f"columns: spark {mine}, sql {types}"]
     got, want = _bag(df.columns, df.collect()), _bag(relation.columns, expected)
