@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tallyward.operators.features import fill_numbers
 from tallyward.operators.silver import now_or
 from tallyward.sources.contracts import contract
+from tallyward.sources.store import spread
 
 # The model inputs in order, the label, and the two candidates.
 FEATURES = (
@@ -150,6 +151,7 @@ def weigh(train: DataFrame) -> DataFrame:
 
 
 def fit_forest(train: DataFrame, spec: ForestSpec) -> PipelineModel:
+    """Fit on weighted rows. Growing trees is heavy per row, so every core gets a share."""
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="inputs")
     forest = RandomForestClassifier(
         featuresCol="inputs",
@@ -160,7 +162,7 @@ def fit_forest(train: DataFrame, spec: ForestSpec) -> PipelineModel:
         seed=spec.seed,
         maxMemoryInMB=spec.memory_mb,
     )
-    return Pipeline(stages=[assembler, forest]).fit(weigh(train))
+    return Pipeline(stages=[assembler, forest]).fit(spread(weigh(train), "Provider"))
 
 
 def predict(model: PipelineModel, frame: DataFrame) -> DataFrame:

@@ -483,7 +483,7 @@ SOURCES = {
 define(
     "a03_source_access",
     " UNION ALL ".join(
-        f"SELECT '{n}' AS table_name, least(5, count(*)) AS rows_read FROM {s}"
+        f"SELECT '{n}' AS table_name, true AS present, least(5, count(*)) AS rows_read FROM {s}"
         for n, s in SOURCES.items()
     ),
 )

@@ -305,7 +305,7 @@ def a01(spark, sf_dir):
 
 @query("a03_source_access")
 def a03(spark, sf_dir):
-    return source_access(derived.bronze_tables(spark, sf_dir))
+    return source_access(spark, derived.bronze_tables(spark, sf_dir))
 
 
 @query("a04_source_row_counts")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyward.sources.contracts import CONDITION_COLUMNS, column_names
+from tallyward.sources.store import spread
 
 SUPPLIER_GRAIN, PART_GRAIN = "l_suppkey", "l_partkey"
 
@@ -15,16 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows out to all cores if the source has fewer splits than there are cores.
-
-    A small file with a single row group is one task whatever its size. Tables of ordinary size
-    have more splits than cores and stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def _text(prefix: str, *parts: Column) -> Column:
     return F.concat(F.lit(prefix), *parts)
 

@@ -33,6 +33,10 @@ class TableStore:
     def location(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
 
+    def sources(self, names: Sequence[str]) -> dict[str, DataFrame | None]:
+        """The named tables, None for those that do not exist."""
+        return {name: self.read(name) if self.exists(name) else None for name in names}
+
     def create_layers(self, layers: Sequence[str] = LAYERS) -> None:
         """Create the databases; nothing to do for path storage."""
         if self.root is None:
@@ -110,20 +114,32 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tallyward-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows out to all cores if the frame has fewer partitions than there are cores.
+
+    A small file with a single row group is one task whatever work follows. Frames of ordinary size
+    have more partitions than cores and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def source_access(tables: Mapping[str, DataFrame], sample: int = 5) -> DataFrame:
-    """Read a few rows of every source: (table_name, rows_read)."""
-    return _union(
-        [
-            df.limit(sample)
-            .agg(F.count("*").alias("rows_read"))
-            .select(F.lit(name).alias("table_name"), "rows_read")
-            for name, df in tables.items()
-        ]
-    )
+def source_access(
+    spark: SparkSession, tables: Mapping[str, DataFrame | None], sample: int = 5
+) -> DataFrame:
+    """Read a few rows of every source: (table_name, present, rows_read); None means absent."""
+
+    def report(name: str, df: DataFrame | None) -> DataFrame:
+        rows = spark.range(0) if df is None else df.limit(sample)
+        return rows.agg(F.count("*").alias("rows_read")).select(
+            F.lit(name).alias("table_name"), F.lit(df is not None).alias("present"), "rows_read"
+        )
+
+    return _union([report(name, df) for name, df in tables.items()])
 
 
 def source_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

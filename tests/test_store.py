@@ -64,6 +64,15 @@ def test_append_adds_rows_by_name(spark, store):
         store.append(spark.createDataFrame([(1, "x", 0)], "a int, b string, c int"), "silver.thing")
 
 
+def test_absent_sources_are_reported(spark, store):
+    store.overwrite(spark.createDataFrame([(1,)], "a int"), "silver.thing")
+    found = store.sources(["silver.thing", "silver.nothing"])
+    assert rows(source_access(spark, found)) == [
+        ("silver.nothing", False, 0),
+        ("silver.thing", True, 1),
+    ]
+
+
 def test_declared_tables(spark):
     declare_tables(spark)
     assert len(DECLARED_TABLES) == 8
@@ -102,7 +111,13 @@ def test_contract_report_and_conform(spark):
 def test_source_reports(spark):
     tables = {"t": spark.range(7).toDF("a"), "empty": spark.range(0).toDF("a")}
     assert rows(source_counts(tables)) == [("empty", 0), ("t", 7)]
-    assert rows(source_access(tables)) == [("empty", 0), ("t", 5)]
+    tables["absent"] = None
+    assert rows(source_access(spark, tables)) == [
+        ("absent", False, 0),
+        ("empty", True, 0),
+        ("t", True, 5),
+    ]
+    tables.pop("absent")
     assert rows(preview(tables["t"], 2, ["a"])) == [(0,), (1,)]
 
 
