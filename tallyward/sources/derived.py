@@ -2,114 +2,105 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyward.sources.contracts import CONDITION_COLUMNS, column_names
 from tallyward.sources.store import spread
 
 SUPPLIER_GRAIN, PART_GRAIN = "l_suppkey", "l_partkey"
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _text(prefix: str, *parts: Column) -> Column:
-    return F.concat(F.lit(prefix), *parts)
+# The columns used here; a given schema spares a look into the files before each read.
+ORDER_TABLES = {
+    "customer": "c_custkey bigint, c_nationkey int",
+    "lineitem": """
+        l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,
+        l_extendedprice double, l_discount double, l_tax double, l_returnflag string,
+        l_linestatus string, l_shipdate timestamp_ntz
+    """,
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "part": "p_partkey bigint, p_size int",
+    "supplier": "s_suppkey bigint, s_nationkey int, s_acctbal double",
+}
 
 
-def _days_after(day: Column, days: Column) -> Column:
-    return F.date_add(day, days).cast("string")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(ORDER_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _claims(spark: SparkSession, sf_dir: str, status: str, provider: str) -> DataFrame:
-    lines = spread(table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == status))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    day = F.col("l_shipdate").cast("date")
-    amount = F.col("l_extendedprice") / 10
-    refund = (F.col("l_returnflag") == "R") & (F.col("l_tax") == 0)
-    whole = T.StringType()
-    deductible = F.round(F.col("l_tax") * 10000).cast("bigint").cast(whole)
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        _text("CLM", F.col("l_orderkey").cast(whole), F.lit("-"), F.col("l_linenumber").cast(whole))
-        .alias("ClaimID"),
-        _text("BENE", F.col("o_custkey").cast(whole)).alias("BeneID"),
-        F.when(F.col("l_orderkey") % 97 != 0, _text("PRV", F.col(provider).cast(whole)))
-        .alias("Provider"),
-        day.cast("string").alias("ClaimStartDt"),
-        _days_after(day, F.col("l_linenumber") - 2).alias("ClaimEndDt"),
-        day.cast("string").alias("AdmissionDt"),
-        _days_after(day, F.col("l_quantity").cast("int") % 10 - 1).alias("DischargeDt"),
-        F.when(refund, -amount).otherwise(amount).alias("InscClaimAmtReimbursed"),
-        F.when((F.col("l_discount") == 0) & F.lit(status == "F"), F.lit("NA"))
-        .otherwise(deductible)
-        .alias("DeductibleAmtPaid"),
+    lines = spread(table(spark, sf_dir, "lineitem").filter(f"l_linestatus = '{status}'"))
+    orders = table(spark, sf_dir, "orders")
+    stay = status == "F"
+    deductible = "CAST(CAST(round(l_tax * 10000) AS BIGINT) AS STRING)"
+    columns = {
+        "ClaimID": "concat('CLM', l_orderkey, '-', l_linenumber)",
+        "BeneID": "concat('BENE', o_custkey)",
+        "Provider": f"CASE WHEN l_orderkey % 97 <> 0 THEN concat('PRV', {provider}) END",
+        "ClaimStartDt": "CAST(shipped AS STRING)",
+        "ClaimEndDt": "CAST(date_add(shipped, l_linenumber - 2) AS STRING)",
+        "AdmissionDt": "CAST(shipped AS STRING)",
+        "DischargeDt": "CAST(date_add(shipped, CAST(l_quantity AS INT) % 10 - 1) AS STRING)",
+        "InscClaimAmtReimbursed": "IF(l_returnflag = 'R' AND l_tax = 0, -1, 1) "
+        "* (l_extendedprice / 10)",
+        "DeductibleAmtPaid": f"IF(l_discount = 0, 'NA', {deductible})" if stay else deductible,
+    }
+    kind = "bronze.inpatientdata" if stay else "bronze.outpatientdata"
+    return (
+        lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+        .selectExpr("*", "CAST(l_shipdate AS DATE) AS shipped")
+        .selectExpr(*[f"{columns[c]} AS {c}" for c in column_names(kind)])
     )
 
 
 def inpatient(spark: SparkSession, sf_dir: str, provider: str = SUPPLIER_GRAIN) -> DataFrame:
-    return _claims(spark, sf_dir, "F", provider).select(column_names("bronze.inpatientdata"))
+    return _claims(spark, sf_dir, "F", provider)
 
 
 def outpatient(spark: SparkSession, sf_dir: str, provider: str = SUPPLIER_GRAIN) -> DataFrame:
-    return _claims(spark, sf_dir, "O", provider).select(column_names("bronze.outpatientdata"))
+    return _claims(spark, sf_dir, "O", provider)
 
 
 def beneficiaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    birth = F.date_add(F.lit("1885-01-01").cast("date"), ((key * 7919) % 47000).cast("int"))
-    return table(spark, sf_dir, "customer").select(
-        _text("BENE", key.cast("string")).alias("BeneID"),
-        F.when(key % 50 != 0, birth.cast("string")).alias("DOB"),
-        F.when(key % 10 == 0, "2009-06-01").otherwise("NA").alias("DOD"),
-        (key % 3).cast("int").alias("Gender"),
-        F.col("c_nationkey").alias("Race"),
-        *[
-            F.when((key + i) % 23 == 0, 1).otherwise(2).alias(c)
-            for i, c in enumerate(CONDITION_COLUMNS)
-        ],
+    birth = "date_add(DATE '1885-01-01', CAST((c_custkey * 7919) % 47000 AS INT))"
+    conditions = [
+        f"IF((c_custkey + {i}) % 23 = 0, 1, 2) AS {c}" for i, c in enumerate(CONDITION_COLUMNS)
+    ]
+    return table(spark, sf_dir, "customer").selectExpr(
+        "concat('BENE', c_custkey) AS BeneID",
+        f"CASE WHEN c_custkey % 50 <> 0 THEN CAST({birth} AS STRING) END AS DOB",
+        "IF(c_custkey % 10 = 0, '2009-06-01', 'NA') AS DOD",
+        "CAST(c_custkey % 3 AS INT) AS Gender",
+        "c_nationkey AS Race",
+        *conditions,
     )
 
 
 def provider_labels(spark: SparkSession, sf_dir: str, provider: str = SUPPLIER_GRAIN) -> DataFrame:
     if provider == PART_GRAIN:
-        answer = F.when(F.col("p_size") <= 10, "Yes").otherwise("No")
-        source, key = table(spark, sf_dir, "part"), "p_partkey"
-    else:
-        answer = (
-            F.when(F.col("s_nationkey") == 24, "Unknown")
-            .when(F.col("s_acctbal") < 1000, "Yes")
-            .otherwise("No")
+        return table(spark, sf_dir, "part").selectExpr(
+            "concat('PRV', p_partkey) AS Provider",
+            "IF(p_size <= 10, 'Yes', 'No') AS PotentialFraud",
         )
-        source, key = table(spark, sf_dir, "supplier"), "s_suppkey"
-    return source.select(
-        _text("PRV", F.col(key).cast("string")).alias("Provider"), answer.alias("PotentialFraud")
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "concat('PRV', s_suppkey) AS Provider",
+        "CASE WHEN s_nationkey = 24 THEN 'Unknown' WHEN s_acctbal < 1000 THEN 'Yes' ELSE 'No' END "
+        "AS PotentialFraud",
     )
 
 
+BRONZE = {
+    "bronze.beneficiarydata": lambda spark, sf_dir, _: beneficiaries(spark, sf_dir),
+    "bronze.inpatientdata": inpatient,
+    "bronze.outpatientdata": outpatient,
+    "bronze.provider": provider_labels,
+}
+
+
 def bronze_table(
     spark: SparkSession, sf_dir: str, name: str, provider: str = SUPPLIER_GRAIN
 ) -> DataFrame:
     """One raw table by name."""
-    if name == "bronze.beneficiarydata":
-        return beneficiaries(spark, sf_dir)
-    if name == "bronze.inpatientdata":
-        return inpatient(spark, sf_dir, provider)
-    if name == "bronze.outpatientdata":
-        return outpatient(spark, sf_dir, provider)
-    if name == "bronze.provider":
-        return provider_labels(spark, sf_dir, provider)
-    raise KeyError(name)
-
-
-BRONZE = (
-    "bronze.beneficiarydata",
-    "bronze.inpatientdata",
-    "bronze.outpatientdata",
-    "bronze.provider",
-)
+    return BRONZE[name](spark, sf_dir, provider)
 
 
 def bronze_tables(
