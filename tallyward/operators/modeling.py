@@ -89,7 +89,9 @@ def split_rows(
 
 
 def _draw(seed: int) -> Column:
-    return F.xxhash64("Provider", F.lit(seed))
+    """A number below 2^60 that depends on the provider and the seed only."""
+    digest = F.md5(F.concat_ws(":", "Provider", F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
 SPLIT_CELLS = 4096

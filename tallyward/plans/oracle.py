@@ -774,7 +774,21 @@ SPLIT_COUNTS = """(
         FROM (SELECT fraud_label, count(*) AS n, round(count(*) * 0.2) AS quota
               FROM gold GROUP BY fraud_label),
              (VALUES ('test'), ('train')) AS s(split))"""
-part_define("f02_split_exact", f"SELECT split, fraud_label, count FROM {SPLIT_COUNTS}")
+DRAW = "CAST('0x' || substr(md5(Provider || ':42'), 1, 15) AS BIGINT)"
+part_define(
+    "f02_split",
+    f"SELECT Provider, fraud_label, CASE WHEN {DRAW} % 1000 < 200 THEN 'test' ELSE 'train' END "
+    "AS split FROM gold",
+)
+part_define(
+    "f02_split_exact",
+    f"""SELECT Provider, fraud_label, CASE WHEN place <= quota THEN 'test' ELSE 'train' END AS split
+        FROM (SELECT Provider, fraud_label,
+                     row_number() OVER (PARTITION BY fraud_label
+                                        ORDER BY {DRAW} % 4096, {DRAW}, Provider) AS place,
+                     round(count(*) OVER (PARTITION BY fraud_label) * 0.2) AS quota
+              FROM gold)""",
+)
 part_define(
     "f05_class_weights",
     "SELECT fraud_label, "
