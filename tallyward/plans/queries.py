@@ -117,9 +117,20 @@ def claims(spark, sf_dir, grain=SUPPLIER) -> DataFrame:
     return silver.valid_unified(unified(spark, sf_dir, grain))
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write a table that is about to be scanned more than once, and read it back."""
+    spark = df.sparkSession
+    return TableStore(spark, shared_folder(spark)).overwrite(df, "scratch.table")
+
+
+def stored_claims(spark, sf_dir, grain=SUPPLIER) -> DataFrame:
+    """The unified claims as the batch has them: written once, then scanned by each branch."""
+    return stored(claims(spark, sf_dir, grain))
+
+
 def gold(spark, sf_dir, grain=SUPPLIER, **options) -> DataFrame:
     return features.provider_features(
-        claims(spark, sf_dir, grain),
+        stored_claims(spark, sf_dir, grain),
         valid(silver.BENEFICIARY, spark, sf_dir),
         valid(silver.PROVIDER_LABELS, spark, sf_dir, grain),
         run_ts(),
@@ -127,19 +138,14 @@ def gold(spark, sf_dir, grain=SUPPLIER, **options) -> DataFrame:
     )
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write a table that is about to be scanned more than once, and read it back."""
-    spark = df.sparkSession
-    return TableStore(spark, shared_folder(spark)).overwrite(df, "scratch.table")
-
-
 def stored_gold(spark, sf_dir, grain=PART, **options) -> DataFrame:
     return stored(gold(spark, sf_dir, grain, **options))
 
 
 def totals(spark, sf_dir) -> DataFrame:
     return features.provider_totals(
-        features.claim_indicators(claims(spark, sf_dir)), valid(silver.BENEFICIARY, spark, sf_dir)
+        features.claim_indicators(stored_claims(spark, sf_dir)),
+        valid(silver.BENEFICIARY, spark, sf_dir),
     )
 
 
