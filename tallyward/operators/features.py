@@ -95,7 +95,8 @@ def provider_totals(
     if approx:
         counted = ids.groupBy("Provider").agg(F.approx_count_distinct("ClaimID").alias("claims"))
     else:
-        counted = ids.distinct().select("Provider", S.flag(F.col("ClaimID").isNotNull()).alias("claims"))
+        known = S.flag(F.col("ClaimID").isNotNull())
+        counted = ids.distinct().select("Provider", known.alias("claims"))
 
     def total(column: str) -> Column:
         return F.sum(column).alias(column)
@@ -145,7 +146,8 @@ def attach_labels(features: DataFrame, labels: DataFrame) -> DataFrame:
 
 def fill_features(features: DataFrame, fill_label: bool = True) -> DataFrame:
     """0 for providers without hospital stays and, unless told otherwise, without a label."""
-    return features.fillna({"avg_hospital_stay_days": 0} | ({"fraud_label": 0} if fill_label else {}))
+    label = {"fraud_label": 0} if fill_label else {}
+    return features.fillna({"avg_hospital_stay_days": 0} | label)
 
 
 def provider_features(

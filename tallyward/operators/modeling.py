@@ -188,7 +188,10 @@ def classification_metrics(predicted: DataFrame) -> DataFrame:
         return F.count_if((F.col(LABEL) == truth) & (F.col("predicted_fraud_label") == guess))
 
     cells = predicted.agg(
-        hits(1, 1).alias("tp"), hits(0, 1).alias("fp"), hits(1, 0).alias("fn"), hits(0, 0).alias("tn")
+        hits(1, 1).alias("tp"),
+        hits(0, 1).alias("fp"),
+        hits(1, 0).alias("fn"),
+        hits(0, 0).alias("tn"),
     )
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
 
@@ -280,6 +283,7 @@ def registry_entry(
 ) -> DataFrame:
     """The row that makes a run the champion version of a model; its AUC joins the tags."""
     pairs = [F.lit(x) for item in tags.items() for x in item]
+    pairs += [F.lit("metric_roc_auc"), F.col("roc_auc").cast("string")]
     return best.select(
         F.lit(model_name).alias("model"),
         F.lit(version).cast("int").alias("version"),
@@ -287,7 +291,7 @@ def registry_entry(
         "run_id",
         "path",
         F.lit(description).alias("description"),
-        F.create_map(*pairs, F.lit("metric_roc_auc"), F.col("roc_auc").cast("string")).alias("tags"),
+        F.create_map(*pairs).alias("tags"),
         now_or(run_ts).alias("created_at"),
     )
 

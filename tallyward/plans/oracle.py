@@ -155,6 +155,9 @@ UNIFIED_FLAGS = [
 ]
 
 
+UNIFIED_VALID = "dq_is_valid_unified"
+
+
 def flagged(source: str, flags, valid: str = "dq_is_valid") -> str:
     bad = " OR ".join(f"coalesce({cond}, false)" for _, cond, _ in flags)
     listed = ", ".join(f"{failed(cond)} AS {name}" for name, cond, _ in flags)
@@ -383,8 +386,8 @@ def parts(grain: str) -> dict[str, str]:
         "out_valid": "SELECT * FROM out_flagged WHERE dq_is_valid = 1",
         "bene_valid": "SELECT * FROM bene_flagged WHERE dq_is_valid = 1",
         "labels_valid": "SELECT * FROM labels_flagged WHERE dq_is_valid = 1",
-        "unified": flagged(f"({unify('inp_valid', 'out_valid')})", UNIFIED_FLAGS, "dq_is_valid_unified"),
-        "unsplit": flagged(f"({unify('inp_clean', 'out_clean')})", UNIFIED_FLAGS, "dq_is_valid_unified"),
+        "unified": flagged(f"({unify('inp_valid', 'out_valid')})", UNIFIED_FLAGS, UNIFIED_VALID),
+        "unsplit": flagged(f"({unify('inp_clean', 'out_clean')})", UNIFIED_FLAGS, UNIFIED_VALID),
         "claims": "SELECT * FROM unified WHERE dq_is_valid_unified = 1",
         "totals": TOTALS,
         "ratios": RATIOS,
@@ -401,7 +404,8 @@ def parts(grain: str) -> dict[str, str]:
         "feature_metrics": suite_sql(FEATURE_CHECKS, "gold"),
         "history": "SELECT * FROM yearly UNION ALL SELECT * FROM feature_metrics "
         "UNION ALL SELECT * FROM label_counts UNION ALL SELECT * FROM label_counts",
-        "prompts": f"SELECT *, {PROMPT} || '{PROMPT_END}' AS fraud_analysis_prompt FROM predictions",
+        "prompts": f"SELECT *, {PROMPT} || '{PROMPT_END}' AS fraud_analysis_prompt "
+        "FROM predictions",
     }
 
 
@@ -929,7 +933,9 @@ define(
     "i03_metric_drift",
     f"SELECT {show(METRIC)}, {shown('previous_value', 'double')}, "
     f"{shown('change', 'double', 'metric_value - previous_value')}, "
-    + shown("relative_change", "double", "(metric_value - previous_value) / nullif(previous_value, 0)")
+    + shown(
+        "relative_change", "double", "(metric_value - previous_value) / nullif(previous_value, 0)"
+    )
     + f" FROM (SELECT *, {BEFORE} AS previous_value FROM yearly)",
 )
 context = [c for c in PREDICTION if c[0] != "prediction_timestamp"]

@@ -398,9 +398,8 @@ def b04(spark, sf_dir):
 
 @query("b05_tolerant_cast")
 def b05(spark, sf_dir):
-    return _columns(
-        raw(INP, spark, sf_dir), "ClaimID", DeductibleAmtPaid=S.to_number(F.col("DeductibleAmtPaid"))
-    )
+    amount = S.to_number(F.col("DeductibleAmtPaid"))
+    return _columns(raw(INP, spark, sf_dir), "ClaimID", DeductibleAmtPaid=amount)
 
 
 @query("b06_age")
@@ -497,7 +496,8 @@ def c04(spark, sf_dir):
 
 @query("c05_not_in_set")
 def c05(spark, sf_dir):
-    known = R.Rule("dq_unknown_gender", "Unknown Gender", R.not_in("gender_desc", ["Male", "Female"]))
+    genders = R.not_in("gender_desc", ["Male", "Female"])
+    known = R.Rule("dq_unknown_gender", "Unknown Gender", genders)
     return R.flag_rows(clean(BENE, spark, sf_dir), [known]).select("BeneID", "dq_unknown_gender")
 
 

@@ -134,7 +134,8 @@ def contract(name: str) -> T.StructType:
 
 
 def column_names(name: str) -> list[str]:
-    """The columns of table ``name`` in order; needs no session. Commas within <> do not separate."""
+    """The columns of table ``name`` in order; needs no session."""
+    # A comma within <> belongs to a type.
     return [column.split()[0] for column in re.split(r",(?![^<]*>)", CONTRACTS[name])]
 
 
