@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -13,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyward.sources.contracts import ContractError, conform
+from tallyward.sources.contracts import conform
+from tallyward.sources.scratch import Scratch
 
 LAYERS = ("bronze", "silver", "gold", "monitoring", "quality", "models")
 
@@ -101,17 +100,8 @@ class TableStore:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder on the storage all executors share, below ``spark.checkpoint.dir``.
-
-    On a cluster a missing setting is an error. A local session, whose executors are this machine,
-    gets a temporary folder instead.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ContractError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/tallyward-{uuid.uuid4().hex}"
+    """A fresh folder on the storage all executors share, removed when the session ends."""
+    return Scratch.create(spark).folder
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
