@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, exact, pii
+from tallyward.llm import bpe, exact, jaccard, pii, suffix
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    return suffix.without_repeats(table(spark, sf_dir, "documents"))
+
+
+def op2_jaccard_join(spark, sf_dir):
+    return jaccard.JaccardJoin().classes(table(spark, sf_dir, "documents"))
+
+
 def op3_pii(spark, sf_dir):
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
@@ -35,7 +43,7 @@ def op10_exact_dedup(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op3_pii, op9_bpe, op10_exact_dedup)
+    for f in (op1_suffix_dedup, op2_jaccard_join, op3_pii, op9_bpe, op10_exact_dedup)
 }
 
 SQL: dict[str, str] = {
