@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, exact, jaccard, pii, suffix
+from tallyward.llm import bpe, exact, jaccard, mixing, pii, suffix, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,29 @@ def op3_pii(spark, sf_dir):
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op7_vectors(spark, sf_dir):
+    return vectors.NearVectors().classes(table(spark, sf_dir, "embeddings"))
+
+
+# Four domains by the number of the source, a favoured language, and sources alike.
+MIXTURE = mixing.Mixture(
+    domain=(
+        "coalesce('d' || CAST(CAST(nullif(regexp_extract(source, '([0-9]+)$', 1), '') AS INT) % 4 "
+        "AS STRING), 'other')"
+    ),
+    weights={
+        "domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1},
+        "lang": {"en": 6, "de": 2},
+    },
+    share=(3, 4),
+    max_epochs=2,
+)
+
+
+def op8_mixing(spark, sf_dir):
+    return MIXTURE.chosen(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -43,9 +66,92 @@ def op10_exact_dedup(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_suffix_dedup, op2_jaccard_join, op3_pii, op9_bpe, op10_exact_dedup)
+    for f in (
+        op1_suffix_dedup,
+        op2_jaccard_join,
+        op3_pii,
+        op7_vectors,
+        op8_mixing,
+        op9_bpe,
+        op10_exact_dedup,
+    )
 }
 
+def _shares(level: str, above: list[str], weight: str, budget: str) -> str:
+    """SQL of one level of the mixture's tree: children and their parts of the parent's budget."""
+    here = ", ".join([*above, level])
+    part = f"PARTITION BY {', '.join(above)}" if above else ""
+    order = f"{part} ORDER BY cap::DOUBLE / w NULLS FIRST, {level} NULLS FIRST"
+    return f"""
+        {level}_0 AS (
+            SELECT {", ".join(f"c.{x}" for x in [*above, level])}, c.w, c.cap, {budget} AS budget
+            FROM (SELECT {here}, {weight} AS w, sum(cap)::BIGINT AS cap, sum(tokens) AS tokens
+                  FROM leaves GROUP BY ALL) c
+            {f"JOIN {above[-1]}_3 p ON " + " AND ".join(f"c.{x} IS NOT DISTINCT FROM p.{x}" for x in above) if above else ""}
+        ), {level}_1 AS (
+            SELECT *, coalesce(sum(cap) OVER b, 0)::HUGEINT AS filled,
+                   coalesce(sum(w) OVER b, 0)::HUGEINT AS passed,
+                   (sum(w) OVER ({part}))::HUGEINT AS all_w, row_number() OVER ({order}) AS nth
+            FROM {level}_0 WHERE cap > 0
+            WINDOW b AS ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ), {level}_2 AS (
+            SELECT *, min(CASE WHEN cap::HUGEINT * (all_w - passed) > (budget - filled) * w
+                               THEN nth END) OVER ({part}) AS first
+            FROM {level}_1
+        ), {level}_2b AS (
+            SELECT *, min(CASE WHEN nth = first THEN filled END) OVER ({part}) AS f,
+                   min(CASE WHEN nth = first THEN passed END) OVER ({part}) AS q
+            FROM {level}_2
+        ), {level}_3 AS (
+            SELECT {here}, least(CASE WHEN first IS NULL OR nth < first THEN cap ELSE
+                ((budget - f) * (passed + w - q)) // (all_w - q)
+                - ((budget - f) * (passed - q)) // (all_w - q) END, cap)::BIGINT AS budget
+            FROM {level}_2b
+            UNION ALL SELECT {here}, 0 FROM {level}_0 WHERE cap = 0
+        )"""
+
+
+DOMAIN_WEIGHT = "CASE domain WHEN 'd0' THEN 4 WHEN 'd1' THEN 3 WHEN 'd2' THEN 2 ELSE 1 END"
+LANG_WEIGHT = "CASE lang WHEN 'en' THEN 6 WHEN 'de' THEN 2 ELSE 1 END"
+
+MIXTURE_SQL = f"""
+    WITH docs AS (
+        SELECT doc_id, lang, source,
+               coalesce('d' || (nullif(regexp_extract(source, '([0-9]+)$', 1), '')::INT % 4), 'other')
+                   AS domain,
+               len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS tokens
+        FROM documents
+    ), leaves AS (
+        SELECT domain, lang, source, sum(tokens)::BIGINT AS tokens, sum(tokens)::BIGINT * 2 AS cap
+        FROM docs GROUP BY ALL
+    ), total AS (
+        SELECT least(sum(tokens)::BIGINT * 3 // 4, sum(cap))::HUGEINT AS budget FROM leaves
+    ), {_shares("domain", [], DOMAIN_WEIGHT, "(SELECT budget FROM total)")},
+    {_shares("lang", ["domain"], LANG_WEIGHT, "p.budget::HUGEINT")},
+    {_shares("source", ["domain", "lang"], "1", "p.budget::HUGEINT")},
+    plan AS (
+        SELECT l.domain, l.lang, l.source, l.tokens AS all_tokens,
+               CASE WHEN l.tokens = 0 THEN 0 ELSE s.budget // l.tokens END AS whole,
+               CASE WHEN l.tokens = 0 THEN 0 ELSE s.budget % l.tokens END AS rest
+        FROM leaves l JOIN source_3 s ON l.domain IS NOT DISTINCT FROM s.domain
+            AND l.lang IS NOT DISTINCT FROM s.lang AND l.source IS NOT DISTINCT FROM s.source
+    ), placed AS (
+        SELECT d.*, whole, rest, all_tokens,
+               ('0x' || substr(md5(concat_ws('|', '1', whole, doc_id)), 1, 15))::BIGINT AS place
+        FROM docs d JOIN plan p ON d.domain IS NOT DISTINCT FROM p.domain
+            AND d.lang IS NOT DISTINCT FROM p.lang AND d.source IS NOT DISTINCT FROM p.source
+    ), counted AS (
+        SELECT *, sum(tokens) OVER (
+            PARTITION BY domain, lang, source
+            ORDER BY place, doc_id NULLS FIRST, tokens RANGE UNBOUNDED PRECEDING) AS upto
+        FROM placed
+    ), times AS (
+        SELECT *, whole + CASE WHEN upto <= rest AND (rest > 0 OR all_tokens = 0) THEN 1 ELSE 0 END AS n
+        FROM counted
+    )
+    SELECT doc_id, domain, lang, source, unnest(range(n)) AS epoch, tokens AS n_tokens FROM times
+"""
+
 SQL: dict[str, str] = {
     "op10_exact_dedup": r"""
         WITH d AS (
@@ -56,4 +162,5 @@ SQL: dict[str, str] = {
                sha256(t) AS text_sha256
         FROM d JOIN g USING (t)
     """,
+    "op8_mixing": MIXTURE_SQL,
 }
