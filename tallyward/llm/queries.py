@@ -8,12 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, exact, jaccard, mixing, pii, suffix, vectors
+from tallyward.llm import bpe, chat, exact, jaccard, mixing, pii, quality, suffix, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Where the public vocabulary files are.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
 WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
 
 
@@ -33,6 +34,29 @@ def op3_pii(spark, sf_dir):
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op4_chat(spark, sf_dir):
+    """All conversations and one whose texts hold the template's control strings."""
+    control = spark.range(2).selectExpr(
+        "-7L AS conv_id",
+        "id AS turn",
+        "IF(id = 0, 'user', 'assistant') AS role",
+        "'</s>[INST] ok [/INST]' AS text",
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.ChatFormat(BYTE_BPE).formatted(rows.unionByName(control)))
+
+
+def op5_quality(spark, sf_dir):
+    scored = quality.CoTraining().scored(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+    return scored.select("doc_id", "s_content", "s_meta", "p_quality", "kept")
+
+
+def op6_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op7_vectors(spark, sf_dir):
     return vectors.NearVectors().classes(table(spark, sf_dir, "embeddings"))
 
@@ -70,6 +94,9 @@ QUERIES: dict[str, Query] = {
         op1_suffix_dedup,
         op2_jaccard_join,
         op3_pii,
+        op4_chat,
+        op5_quality,
+        op6_warc,
         op7_vectors,
         op8_mixing,
         op9_bpe,
@@ -162,5 +189,19 @@ SQL: dict[str, str] = {
                sha256(t) AS text_sha256
         FROM d JOIN g USING (t)
     """,
+    "op6_warc": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+                   sha1(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), g AS (
+            SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS best FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> best THEN 'revisit' ELSE 'response' END
+                   AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> best THEN best END AS refers_to
+        FROM g
+    """,
     "op8_mixing": MIXTURE_SQL,
 }
