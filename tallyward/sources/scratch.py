@@ -49,3 +49,8 @@ class Scratch:
     def remove(self, name: str = "") -> None:
         path, files = self._path(name)
         files.delete(path, True)
+
+    def make(self, name: str) -> None:
+        """An empty folder, for tasks that write files of their own."""
+        path, files = self._path(name)
+        files.mkdirs(path)
