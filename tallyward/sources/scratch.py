@@ -54,3 +54,12 @@ class Scratch:
         """An empty folder, for tasks that write files of their own."""
         path, files = self._path(name)
         files.mkdirs(path)
+
+    def finish(self, df: DataFrame) -> DataFrame:
+        """Keep the frame and remove everything else that was kept here."""
+        result = self.keep(df, "result")
+        path, files = self._path("")
+        for entry in files.listStatus(path):
+            if entry.getPath().getName() != "result":
+                files.delete(entry.getPath(), True)
+        return result
