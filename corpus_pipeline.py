@@ -1,8 +1,58 @@
-"""A corpus pipeline in stages; see STAGES."""
+"""From raw documents to token ids, in stages that each write what they keep.
 
+Every stage works on all that its predecessor kept: the classifier's rejects go, of equal texts and
+of near copies one document stays, the mixture takes what its weights and budget allow, once per
+epoch, and every document that is left is encoded.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tallyward.llm import bpe, exact, jaccard, quality
+from tallyward.llm.queries import MIXTURE, WORD_BPE
+from tallyward.sources.scratch import Scratch
+
+# The classifier's fit and the encoding have no SQL; tests/llm/test_pipeline.py has a plain version.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.CoTraining().scored(docs, labels).filter("kept").select(*docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact.first_of_each(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.one_of_each(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return MIXTURE.mixed(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.digests(docs, WORD_BPE)
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("mixing sources to target weights", mix_sources),
+    ("BPE encoding and decoding", encode),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each is written and read again before the next."""
+    scratch = Scratch.create(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for n, (_, stage) in enumerate(STAGES):
+        docs = scratch.keep(stage(spark, docs, sf_dir), f"stage-{n}")
+        if n:
+            scratch.remove(f"stage-{n - 1}")
+    return docs

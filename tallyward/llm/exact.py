@@ -64,12 +64,14 @@ class RadixDedup:
             if rows.isEmpty():
                 break
             level, width = level + 1, width * self.growth
-        return done.select(
-            F.col("id").alias(self.key),
-            "keep_id",
-            "group_size",
-            F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
-            "text_sha256",
+        return scratch.finish(
+            done.select(
+                F.col("id").alias(self.key),
+                "keep_id",
+                "group_size",
+                F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
+                "text_sha256",
+            )
         )
 
     def _split(self, rows: DataFrame, width: int, first: bool) -> DataFrame:
@@ -122,9 +124,10 @@ def first_of_each(docs: DataFrame, dedup: RadixDedup | None = None) -> DataFrame
     sha = F.sha2(normal_text(F.col(dedup.text)).cast("binary"), 256)
     rest = [F.col(c) for c in docs.columns if c not in (dedup.key, dedup.text)]
     one = W.partitionBy(dedup.key, "_own").orderBy(*rest, dedup.text)
+    on = F.col(dedup.key).eqNullSafe(F.col("_key")) & (F.col("_own") == F.col("_sha"))
     return (
         docs.withColumn("_own", sha)
-        .join(kept, F.col(dedup.key).eqNullSafe(F.col("_key")) & (F.col("_own") == F.col("_sha")), "left_semi")
+        .join(kept, on, "left_semi")
         .withColumn("_nth", F.row_number().over(one))
         .filter("_nth = 1")
         .drop("_own", "_nth")

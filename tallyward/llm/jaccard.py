@@ -195,6 +195,21 @@ class JaccardJoin:
         text and may be in different components. Null keys are passed over as component ids unless
         a component has no other. Other columns are not read.
         """
+        labelled = self.labelled(docs)
+        least = (
+            labelled.filter("component IS NOT NULL")
+            .groupBy("component")
+            .agg(F.min("id").alias("component_id"))
+        )
+        own = F.col("component").isNull()
+        return labelled.join(least, "component", "left").select(
+            F.col("id").alias(self.key),
+            F.col("n").alias("n_shingles"),
+            F.when(own, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+        )
+
+    def labelled(self, docs: DataFrame) -> DataFrame:
+        """(id, thash, n, component) of every row; the component of an empty set is null."""
         scratch = Scratch.create(docs.sparkSession)
         rows = docs.select(
             F.col(self.key).alias("id"),
@@ -222,27 +237,14 @@ class JaccardJoin:
 
         members = nodes.select("node", "grp", "n")
         links = self._links(rows, nodes, members, groups, held, scratch)
-        comp = components(links, scratch) if links is not None else None
-        labelled = listed.select("id", "n", "node")
-        if comp is not None:
-            labelled = labelled.join(comp.withColumnRenamed("id", "node"), "node", "left")
-        else:
-            labelled = labelled.withColumn("component", F.col("node"))
-        labelled = labelled.withColumn("component", F.coalesce("component", "node"))
-        least = (
-            labelled.filter("component IS NOT NULL")
-            .groupBy("component")
-            .agg(F.min("id").alias("component_id"))
-        )
-        return labelled.join(least, "component", "left").select(
-            F.col("id").alias(self.key),
-            F.col("n").alias("n_shingles"),
-            F.when(F.col("component").isNull(), F.col("id"))
-            .otherwise(F.col("component_id"))
-            .alias("component_id"),
+        comp = components(links, scratch).withColumnRenamed("id", "node")
+        return scratch.finish(
+            listed.select("id", "thash", "n", "node")
+            .join(comp, "node", "left")
+            .select("id", "thash", "n", F.coalesce("component", "node").alias("component"))
         )
 
-    def _links(self, rows, nodes, members, groups, held, scratch) -> DataFrame | None:
+    def _links(self, rows, nodes, members, groups, held, scratch) -> DataFrame:
         """Links of nodes (a, b), enough of them to connect every component."""
         large = groups.filter("members > 1").select("grp", "n")
         touched = held.select("grp", "n").unionByName(large).distinct()
@@ -322,19 +324,27 @@ class JaccardJoin:
 
 
 def one_of_each(docs: DataFrame, join: JaccardJoin | None = None) -> DataFrame:
-    """The rows of ``docs`` whose key is the component id, with their columns.
+    """One row of ``docs`` for each component, with its columns: the one with the smallest key.
 
-    Rows that share key and component are alike or linked; the one that sorts first stays.
+    Rows with an empty set all stay. Of rows alike in key and text the one that sorts first by its
+    other columns stays; a null key stays only where its component has no other.
     """
     join = join or JaccardJoin()
-    found = join.classes(docs)
-    kept = found.filter(F.col(join.key).eqNullSafe(F.col("component_id"))).select(
-        F.col(join.key).alias("_key")
-    ).distinct()
-    rest = [c for c in docs.columns if c != join.key]
+    found = join.labelled(docs)
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "thash")
+    first = found.filter("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("one"))
+    kept = first.select("one.id", "one.thash", F.lit(False).alias("_empty")).unionByName(
+        found.filter("component IS NULL").select("id", "thash", F.lit(True).alias("_empty")).distinct()
+    )
+    rest = [F.col(c) for c in docs.columns if c not in (join.key, join.text)]
+    alike = W.partitionBy(join.key, "_hash").orderBy(*rest, join.text)
     return (
-        docs.join(kept, F.col(join.key).eqNullSafe(F.col("_key")), "left_semi")
-        .withColumn("_nth", F.row_number().over(W.partitionBy(join.key).orderBy(*rest)))
-        .filter("_nth = 1 ")
-        .drop("_nth")
+        docs.withColumn("_hash", F.xxhash64(join.text))
+        .join(
+            kept.withColumnsRenamed({"id": "_id", "thash": "_thash"}),
+            F.col(join.key).eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_thash")),
+        )
+        .withColumn("_nth", F.row_number().over(alike))
+        .filter("_nth = 1 OR _empty")
+        .select(*docs.columns)
     )

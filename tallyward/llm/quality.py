@@ -283,13 +283,15 @@ class CoTraining:
 
     def fit(self, docs: DataFrame, labels: DataFrame) -> tuple[tuple[View, View], np.ndarray]:
         """(views, weights of the combined model)."""
-        bags = Scratch.create(docs.sparkSession).keep(self.extract(docs, labels), "features")
+        scratch = Scratch.create(docs.sparkSession)
+        bags = scratch.keep(self.extract(docs, labels), "features")
         models = None
         for turn in range(self.rounds + 1):
             views = tuple(View.fit(*c) for c in self.counted(bags, models))
             x, y = self.calibration(bags, views)
             if turn < self.rounds:
                 models = views, [logistic_fit(x[:, of], y) for of in (CONTENT, META)]
+        scratch.remove()
         return views, logistic_fit(x, y)
 
     def scored(self, docs: DataFrame, labels: DataFrame) -> DataFrame:

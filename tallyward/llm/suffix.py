@@ -40,6 +40,7 @@ from tallyward.sources.scratch import Scratch
 CELL = 32
 POSITION_BITS = 21
 
+
 def fingerprints(data: np.ndarray, width: int) -> np.ndarray:
     """A 64-bit fingerprint of the ``width`` bytes from each position on."""
     total = prefix_sums(data)
@@ -409,7 +410,7 @@ def repeated_windows(docs: DataFrame, family: SuffixFamily, scratch: Scratch) ->
     alone = each.join(again, ["sym", "window"], "left_semi").select(
         *KEY, F.col("start").alias("lo"), F.col("start").alias("hi")
     )
-    return _union([certain, equal, in_cell, alone])
+    return scratch.finish(_union([certain, equal, in_cell, alone]))
 
 
 def without_repeats(

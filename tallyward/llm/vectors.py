@@ -156,11 +156,14 @@ class NearVectors:
         known = scratch.keep(known, "known")
         least = known.groupBy("component").agg(F.min("least").alias("component_id"))
         known = known.join(least, "component").select("node", "n_links", "component_id")
-        return rows.select("id", "node").join(known, "node", "left").select(
-            F.col("id").alias(self.key),
-            F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
-            F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-            F.when(F.col("node").isNull(), True)
-            .otherwise(F.col("id").eqNullSafe(F.col("component_id")))
-            .alias("kept"),
+        own = F.col("node").isNull()
+        return scratch.finish(
+            rows.select("id", "node")
+            .join(known, "node", "left")
+            .select(
+                F.col("id").alias(self.key),
+                F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
+                F.when(own, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+                (own | F.col("id").eqNullSafe(F.col("component_id"))).alias("kept"),
+            )
         )

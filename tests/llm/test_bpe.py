@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+
+from tallyward.llm import bpe
+from tallyward.llm.queries import WORD_BPE
+
+tokenizers = pytest.importorskip("tokenizers")
+
+ODD = "aAbé ΣσςİßŁ'st'reＡ１²Ⅳ\x1c\x1d\x85\xa0​　\n\t 漢🙂éİ!?#ﬁǅ𝔸 ٣ก็"
+
+
+@pytest.fixture(scope="module")
+def library():
+    return tokenizers.Tokenizer.from_file(WORD_BPE)
+
+
+def texts(n):
+    rng = random.Random(n)
+    made = ["".join(rng.choice(ODD) for _ in range(rng.randint(0, 50))) for _ in range(n)]
+    return made + [
+        "",
+        "a" * 3000,
+        "<|endoftext|>a<|startoftext|> <|END|> <|endoftext|",
+        "don't I'LL we've 's'start",
+        "The thondered anshable",
+    ]
+
+
+def test_equals_the_library(library):
+    encoder = bpe.load(WORD_BPE)
+    for text in texts(2000):
+        want = library.encode(text, add_special_tokens=False).ids
+        assert encoder.encode(text) == want
+        assert encoder.decode(want) == library.decode(want, skip_special_tokens=False)
+
+
+def test_tree_gives_the_leftmost_lowest_pair():
+    rng = random.Random(5)
+    ranks = [rng.choice([1, 2, 3, bpe.NONE]) for _ in range(23)]
+    tree = bpe.PairTree(ranks)
+    for _ in range(200):
+        low = min(ranks)
+        assert tree.lowest() == (-1 if low == bpe.NONE else ranks.index(low))
+        i = rng.randrange(len(ranks))
+        ranks[i] = rng.choice([1, 2, 3, 4, bpe.NONE])
+        tree.put(i, ranks[i])
+
+
+def test_rows(spark, library):
+    rows = [(i, t, "x") for i, t in enumerate(texts(50))] + [(None, None, "x"), (3, "again", None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, ids string")
+    want = {}
+    for key, text, _ in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        want.setdefault(key, []).append((ids, decoded))
+    for r in bpe.encoded(df, WORD_BPE).collect():
+        assert (list(r.ids), r.decoded) in want[r.doc_id]
+    got = bpe.digests(df, WORD_BPE).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) in [
+            (
+                len(ids),
+                hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+                hashlib.sha256(decoded.encode()).hexdigest(),
+            )
+            for ids, decoded in want[r.doc_id]
+        ]
+    assert bpe.digests(df.limit(0), WORD_BPE).count() == 0

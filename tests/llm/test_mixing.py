@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+from collections import Counter
+from fractions import Fraction
+
+import pytest
+
+from tallyward.llm.mixing import LEVELS, Mixture
+from tests.compare import connect, differences
+
+
+def share(children, budget):
+    """Budgets of (name, weight, cap): fill up, hand on, split the rest by cumulated weight."""
+    out = {name: 0 for name, _, _ in children}
+    open_ = sorted(
+        (c for c in children if c[2] > 0),
+        key=lambda c: (Fraction(c[2], c[1]), c[0] is not None, c[0] or ""),
+    )
+    while open_ and open_[0][2] * sum(w for _, w, _ in open_) <= budget * open_[0][1]:
+        name, _, cap = open_.pop(0)
+        out[name] = cap
+        budget -= cap
+    total, before = sum(w for _, w, _ in open_), 0
+    for name, w, _ in open_:
+        out[name] = budget * (before + w) // total - budget * before // total
+        before += w
+    return out
+
+
+def brute(rows, mixture, domain):
+    tokens = [len(re.findall(r"[^\x20\x09-\x0D]+", text or "")) for _, text, _, _ in rows]
+    paths = [(domain(source), lang, source) for _, _, lang, source in rows]
+    weight = lambda d, name: mixture.weights.get(LEVELS[d], {}).get(name, 1)
+    leaf, cap = Counter(), Counter()
+    for path, n in zip(paths, tokens):
+        leaf[path] += n
+    for path, n in leaf.items():
+        if all(weight(d, name) for d, name in enumerate(path)):
+            for d in range(4):
+                cap[path[:d]] += n * mixture.max_epochs
+    of, to = mixture.share
+    budget = {(): min(sum(leaf.values()) * of // to, cap[()])}
+    for d in range(3):
+        for parent in {p[:d] for p in leaf}:
+            names = {p[d] for p in leaf if p[:d] == parent}
+            parts = share([(n, weight(d, n), cap[(*parent, n)]) for n in names], budget[parent])
+            budget |= {(*parent, n): b for n, b in parts.items()}
+    out = Counter()
+    for path, total in leaf.items():
+        if not all(weight(d, name) for d, name in enumerate(path)):
+            continue
+        whole, rest = divmod(budget[path], total) if total else (0, 0)
+        own = []
+        for (key, *_), p, n in zip(rows, paths, tokens):
+            if p == path:
+                for epoch in range(whole):
+                    out[key, *path, epoch, n] += 1
+                name = "|".join(str(x) for x in (mixture.seed, whole, key) if x is not None)
+                place = int(hashlib.md5(name.encode()).hexdigest()[:15], 16)
+                own.append(((place, key is not None, key or 0, n), key, n))
+        if rest or not total:
+            for place, key, n in own:
+                if sum(m for other, _, m in own if other <= place) <= rest:
+                    out[key, *path, whole, n] += 1
+    return out
+
+
+def documents(seed, n=200):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        source = rng.choice(["s0"] * 6 + ["s1", "s2", "s3", None, "t"])
+        lang = rng.choice(["en", "en", "de", None])
+        text = rng.choice([None, "", "a b", " ".join(["w"] * rng.randint(1, 60))])
+        rows.append((rng.choice([i, i, i, 5, None]), text, lang, source))
+    return rows
+
+
+@pytest.mark.parametrize("seed, part, epochs", [(1, (1, 2), 1), (2, (1, 1), 3), (3, (5, 1), 2), (4, (0, 1), 2)])
+def test_equals_brute_force(spark, seed, part, epochs):
+    rows = documents(seed)
+    mixture = Mixture(
+        domain="CASE WHEN source < 's2' THEN 'low' WHEN source IS NULL THEN NULL ELSE 'high' END",
+        weights={"domain": {"low": 3}, "lang": {"de": 2}, "source": {"s3": 0, "s1": 5}},
+        share=part,
+        max_epochs=epochs,
+        seed=seed,
+    )
+    domain = lambda s: None if s is None else "low" if s < "s2" else "high"
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, lang string, source string, epoch string")
+    want = brute(rows, mixture, domain)
+    assert Counter(tuple(r) for r in mixture.chosen(df).collect()) == want
+    mixed = mixture.mixed(df)
+    assert mixed.columns == df.columns
+    assert Counter(r.doc_id for r in mixed.collect()) == sum(
+        (Counter({k[0]: n}) for k, n in want.items()), Counter()
+    )
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id bigint, text string, lang string, source string")
+    assert Mixture().chosen(df).count() == 0 and Mixture().mixed(df).count() == 0
+
+
+def test_query_equals_its_sql(spark, sf_dir):
+    from tallyward.llm.queries import QUERIES, SQL
+
+    assert differences(QUERIES["op8_mixing"](spark, sf_dir), connect(sf_dir), SQL["op8_mixing"]) == []

@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+
+from tallyward.llm import quality
+from tallyward.llm.quality import CoTraining
+
+
+def test_held_out_accuracy(spark, sf_dir):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = CoTraining()
+    scored = model.scored(docs, labels)
+    assert scored.count() == docs.count() and scored.columns[: len(docs.columns)] == docs.columns
+    table = {(r.label, r.kept): r.rows for r in model.accuracy(docs, labels).collect()}
+    good, bad = table.get((1, True), 0), table.get((0, False), 0)
+    assert good >= 0.95 * (good + table.get((1, False), 0))
+    assert bad >= 0.8 * (bad + table.get((0, True), 0))
+
+
+def test_views_teach_each_other(spark):
+    """Without exchange the metadata view has too few labels; pseudo-labels add rows to both."""
+    docs = spark.createDataFrame(
+        [(i, ("good words here " if i % 2 else "BAD!! SHOUT!! ") * 8, "en", f"s{i % 2}") for i in range(200)],
+        "doc_id bigint, text string, lang string, source string",
+    )
+    labels = spark.createDataFrame(
+        [(i, i % 2, 0) for i in range(60)], "doc_id bigint, quality int, toxic int"
+    )
+    model = CoTraining(rounds=1)
+    bags = model.extract(docs, labels).cache()
+    first = model.counted(bags, None)
+    views = tuple(quality.View.fit(*c) for c in first)
+    x, y = model.calibration(bags, views)
+    lines = [quality.logistic_fit(x[:, of], y) for of in (quality.CONTENT, quality.META)]
+    second = model.counted(bags, (views, lines))
+    bags.unpersist()
+    assert all(b[1].sum() > a[1].sum() for a, b in zip(first, second))
+    kept = {r.doc_id: r.kept for r in model.scored(docs, labels).collect()}
+    assert all(kept[i] == bool(i % 2) for i in range(200))
+
+
+def test_odd_tables(spark):
+    schema = "doc_id bigint, text string, lang string, source string, kept string"
+    rows = [(None, None, None, None, "x"), (1, "", "en", "a", "x"), (1, "word " * 300_000, None, "a", "x")]
+    docs = spark.createDataFrame(rows, schema)
+    labels = spark.createDataFrame(
+        [(1, 1, None), (1, 0, 1), (None, 1, 1), (2, None, 0), (3, 7, 0)], "doc_id bigint, quality int, toxic int"
+    )
+    found = CoTraining().scored(docs, labels)
+    assert [r.kept for r in found.collect()] == [True] * 3  # no usable label: nothing is rejected
+    assert found.columns == ["doc_id", "text", "lang", "source", "s_content", "s_meta", "p_quality", "kept"]
+    assert CoTraining().scored(docs.limit(0), labels).count() == 0
+    assert CoTraining().scored(docs, labels.limit(0)).count() == 3
+
+
+def test_features_do_not_depend_on_neighbours():
+    texts = ["a b c", None, "", "X!! Y!!", "w " * 30, "é\n\né"]
+    def batch(t):
+        n = len(t)
+        return pa.RecordBatch.from_arrays([pa.array(t, pa.string()), pa.array(["s"] * n), pa.array(["l"] * n)], ["t", "s", "l"])
+    together = list(quality.features(batch(texts), 0, 1, 2))
+    for text, (content, meta) in zip(texts, together):
+        (own,) = quality.features(batch([text]), 0, 1, 2)
+        assert np.array_equal(own[0], content) and np.array_equal(own[1], meta)
