@@ -9,21 +9,9 @@ from pyspark.sql import functions as F
 
 from tallyward.sources.contracts import column_names
 
-MEASURES = (
-    "total_claims",
-    "unique_beneficiaries",
-    "inpatient_claims",
-    "outpatient_claims",
-    "avg_reimbursement_amount",
-    "total_reimbursement_amount",
-    "max_reimbursement_amount",
-    "avg_deductible_amount",
-    "total_deductible_amount",
-    "avg_claim_duration_days",
-    "avg_hospital_stay_days",
-    "high_reimbursement_claims",
-    "chronic_condition_claims",
-)
+# What the aggregation of claims gives: the feature table's columns before the ratios, less the key.
+_columns = column_names("gold.provider_fraud_features")
+MEASURES = tuple(_columns[1 : _columns.index("inpatient_claim_ratio")])
 
 
 def _differs(name: str, tolerance: float) -> Column:

@@ -7,7 +7,7 @@ per feature.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -20,46 +20,35 @@ from pyspark.sql import functions as F
 
 from tallyward.operators.features import fill_numbers
 from tallyward.operators.silver import now_or
-from tallyward.sources.contracts import contract
-from tallyward.sources.store import spread
-
-# The model inputs in order, the label, and the two candidates.
-FEATURES = (
-    "total_claims",
-    "unique_beneficiaries",
-    "inpatient_claims",
-    "outpatient_claims",
-    "avg_reimbursement_amount",
-    "total_reimbursement_amount",
-    "max_reimbursement_amount",
-    "avg_deductible_amount",
-    "total_deductible_amount",
-    "avg_claim_duration_days",
-    "avg_hospital_stay_days",
-    "high_reimbursement_claims",
-    "chronic_condition_claims",
-    "inpatient_claim_ratio",
-    "outpatient_claim_ratio",
-    "high_reimbursement_claim_ratio",
-    "chronic_condition_claim_ratio",
-    "claims_per_beneficiary",
+from tallyward.sources.contracts import column_names, contract
+
+# The model inputs, in order: every number of the feature table but the label.
+FEATURES = tuple(
+    c
+    for c in column_names("gold.provider_fraud_features")
+    if c not in ("Provider", "fraud_label", "gold_processed_timestamp")
 )
+# The label, its classes, and the two candidates.
 LABEL = "fraud_label"
 CLASSES = (0, 1)
 SEED = 42
 TEST_SHARE = 0.2
 MODEL_TYPE = "RandomForestClassifier"
-TRAIN, TEST = "train", "test"
+TRAIN, TEST, UNUSED = "train", "test", "unused"
 
 
 @dataclass(frozen=True)
 class ForestSpec:
+    """A candidate. ``partitions`` is the layout of the training rows, on which the drawn samples
+    depend: part of the model, and logged with it."""
+
     run_name: str
     trees: int
     depth: int
     seed: int = SEED
     class_weight: str = "balanced"
     memory_mb: int = 1024
+    partitions: int = 32
 
 
 CANDIDATES = (
@@ -73,19 +62,36 @@ def model_frame(features: DataFrame) -> DataFrame:
     return fill_numbers(features.select("Provider", *FEATURES, LABEL))
 
 
+def known_label() -> Column:
+    return F.coalesce(F.col(LABEL).isin(*CLASSES), F.lit(False))
+
+
+def require_labels(frame: DataFrame) -> None:
+    """ValueError unless every label is 0 or 1, with the counts; one aggregate."""
+    found = frame.agg(
+        F.count_if(F.col(LABEL).isNull()).alias("null"),
+        F.count_if(F.col(LABEL).isNotNull() & ~known_label()).alias("other"),
+    ).first()
+    if found["null"] or found["other"]:
+        raise ValueError(
+            f"labels must be 0 or 1: {found['null']} rows have none, {found['other']} another"
+        )
+
+
 def split_rows(
-    frame: DataFrame, share: float = TEST_SHARE, seed: int = SEED, exact: bool = False
+    frame: DataFrame, share: float = TEST_SHARE, seed: int = SEED, exact: bool = True
 ) -> DataFrame:
     """Add ``split``, train or test, chosen by a hash of the provider.
 
-    The plain form looks at one row at a time: no shuffle, the same answer on every run, and each
-    label's test share is ``share`` up to chance. ``exact`` makes it the rounded share of each
-    label's count.
+    The test rows are the rounded share of each label's count. With ``exact=False`` the hash alone
+    decides: no shuffle, and each label's test share is ``share`` up to chance. No row is dropped:
+    those whose label is neither 0 nor 1 are marked unused.
     """
     if exact:
         return _split_exactly(frame, share, seed)
     drawn = F.pmod(_draw(seed), F.lit(1000)) < round(share * 1000)
-    return frame.withColumn("split", F.when(drawn, TEST).otherwise(TRAIN))
+    side = F.when(drawn, TEST).otherwise(TRAIN)
+    return frame.withColumn("split", F.when(known_label(), side).otherwise(UNUSED))
 
 
 def _draw(seed: int) -> Column:
@@ -103,7 +109,7 @@ def _split_exactly(frame: DataFrame, share: float, seed: int) -> DataFrame:
     Draws fall into numbered cells. Whole cells are test or train by the running count of their
     label, and rows are ranked in the one cell per label that the quota cuts through.
     """
-    drawn = frame.filter(F.col(LABEL).isin(*CLASSES)).withColumns(
+    drawn = frame.filter(known_label()).withColumns(
         {"draw": _draw(seed), "cell": F.pmod(_draw(seed), F.lit(SPLIT_CELLS))}
     )
     running = Window.partitionBy(LABEL).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
@@ -119,15 +125,22 @@ def _split_exactly(frame: DataFrame, share: float, seed: int) -> DataFrame:
     whole = placed.filter(~is_cut).withColumn("chosen", F.col("open") >= F.col("count"))
     by_draw = Window.partitionBy(LABEL, "cell").orderBy("draw", "Provider")
     cut = placed.filter(is_cut).withColumn("chosen", F.row_number().over(by_draw) <= F.col("open"))
-    return whole.unionByName(cut).select(
-        *frame.columns, F.when(F.col("chosen"), TEST).otherwise(TRAIN).alias("split")
+    return (
+        whole.unionByName(cut)
+        .select(*frame.columns, F.when(F.col("chosen"), TEST).otherwise(TRAIN).alias("split"))
+        .unionByName(frame.filter(~known_label()).withColumn("split", F.lit(UNUSED)))
     )
 
 
 def require_both_labels(split: DataFrame) -> None:
-    """ValueError unless train and test each hold both labels."""
-    found = {(r[0], r[1]) for r in split.select("split", LABEL).distinct().limit(9).collect()}
-    absent = [(s, c) for s in (TRAIN, TEST) for c in CLASSES if (s, c) not in found]
+    """ValueError unless train and test each hold both labels; one aggregate."""
+    cells = {
+        f"{side}, {label}": F.count_if((F.col("split") == side) & (F.col(LABEL) == label))
+        for side in (TRAIN, TEST)
+        for label in CLASSES
+    }
+    found = split.agg(*[count.alias(name) for name, count in cells.items()]).first().asDict()
+    absent = [name for name, count in found.items() if not count]
     if absent:
         raise ValueError(f"no rows for {absent}: too few providers to split by label")
 
@@ -140,20 +153,27 @@ def class_balance(split: DataFrame) -> DataFrame:
 
 
 def class_weights(train: DataFrame) -> DataFrame:
-    """(label, weight): rows / (labels * rows of the label). At most two rows."""
-    counts = train.filter(F.col(LABEL).isin(*CLASSES)).groupBy(LABEL).count()
+    """(label, weight): rows / (labels * rows of the label), for the labels 0 and 1."""
+    counts = train.filter(known_label()).groupBy(LABEL).count()
     everything = Window.partitionBy(F.lit(1))
     rows, labels = F.sum("count").over(everything), F.count("*").over(everything)
     return counts.select(LABEL, (rows / (labels * F.col("count"))).alias("class_weight"))
 
 
 def weigh(train: DataFrame) -> DataFrame:
-    """Attach the class weights; the broadcast side has one row per label."""
-    return train.join(F.broadcast(class_weights(train)), LABEL)
+    """Attach the class weights, null for other labels; the broadcast side has two rows at most."""
+    return train.join(F.broadcast(class_weights(train)), LABEL, "left")
+
+
+def training_rows(train: DataFrame, spec: ForestSpec) -> DataFrame:
+    """Weighted rows in the layout of the candidate, the same however the input was dealt out."""
+    return weigh(train).repartition(spec.partitions, "Provider").sortWithinPartitions(
+        "Provider", LABEL, *FEATURES
+    )
 
 
 def fit_forest(train: DataFrame, spec: ForestSpec) -> PipelineModel:
-    """Fit on weighted rows. Growing trees is heavy per row, so every core gets a share."""
+    """Fit on weighted rows."""
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="inputs")
     forest = RandomForestClassifier(
         featuresCol="inputs",
@@ -164,7 +184,7 @@ def fit_forest(train: DataFrame, spec: ForestSpec) -> PipelineModel:
         seed=spec.seed,
         maxMemoryInMB=spec.memory_mb,
     )
-    return Pipeline(stages=[assembler, forest]).fit(spread(weigh(train), "Provider"))
+    return Pipeline(stages=[assembler, forest]).fit(training_rows(train, spec))
 
 
 def predict(model: PipelineModel, frame: DataFrame) -> DataFrame:
@@ -235,14 +255,27 @@ class Run:
     path: str | None = None
 
 
-def train_candidate(split: DataFrame, spec: ForestSpec, model_root: str | None = None) -> Run:
-    """Fit on the train rows, evaluate on the test rows, store the model below ``model_root``."""
+def train_candidate(
+    split: DataFrame,
+    spec: ForestSpec,
+    model_root: str | None = None,
+    keep: Callable[[DataFrame], DataFrame] = lambda scores: scores,
+) -> Run:
+    """Fit on the train rows, evaluate on the test rows, store the model below ``model_root``.
+
+    ``split`` is best a stored table, as the fit reads it several times. ``keep`` stores the scored
+    test rows, so that both metrics come from one pass over the trees.
+    """
     train = split.filter(F.col("split") == TRAIN).drop("split")
     test = split.filter(F.col("split") == TEST).drop("split")
     model = fit_forest(train, spec)
-    predicted = predict(model, test)
-    metrics = classification_metrics(predicted).first().asDict()
-    metrics["roc_auc"] = roc_auc(predicted)
+    scores = keep(
+        predict(model, test).select(
+            "Provider", LABEL, "predicted_fraud_label", "fraud_probability"
+        )
+    )
+    metrics = classification_metrics(scores).first().asDict()
+    metrics["roc_auc"] = roc_auc(scores)
     run_id = uuid.uuid4().hex
     path = None
     if model_root:
@@ -256,6 +289,7 @@ def run_log(spark: SparkSession, runs: Sequence[Run], run_ts: Column | None = No
     target = contract("models.model_runs")
     rows = [
         (r.run_id, r.spec.run_name, MODEL_TYPE, r.spec.trees, r.spec.depth, r.spec.class_weight,
+         r.spec.partitions,
          *[r.metrics[m] for m in ("accuracy", "precision", "recall", "f1_score", "roc_auc")],
          r.path)
         for r in runs

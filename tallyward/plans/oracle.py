@@ -4,17 +4,54 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from tallyward.operators.checks import FEATURE_CHECKS, PREDICTION_CHECKS, CheckSuite
-from tallyward.operators.investigation import MEASURES
-from tallyward.operators.modeling import FEATURES
-from tallyward.operators.scoring import PROMPT_END, PROMPT_PARTS
-from tallyward.plans.queries import AS_OF, CLAIM_SUITE, NUDGE, RUN_TS
+from tallyward.operators.checks import CheckSuite
+from tallyward.plans.queries import AS_OF, NUDGE, RUN_TS
 from tallyward.sources.contracts import CONDITION_COLUMNS, CONTRACTS
 
 SQL: dict[str, str] = {}
 
 NOW = f"TIMESTAMP '{RUN_TS}'"
 
+# Fixed values, written out here as well so that a slip in the library's lists shows as a difference.
+MEASURES = """
+    total_claims unique_beneficiaries inpatient_claims outpatient_claims avg_reimbursement_amount
+    total_reimbursement_amount max_reimbursement_amount avg_deductible_amount
+    total_deductible_amount avg_claim_duration_days avg_hospital_stay_days
+    high_reimbursement_claims chronic_condition_claims
+""".split()
+SHARES = """
+    inpatient_claim_ratio outpatient_claim_ratio high_reimbursement_claim_ratio
+    chronic_condition_claim_ratio
+""".split()
+FEATURES = [*MEASURES, *SHARES, "claims_per_beneficiary"]
+CLAIM_SUITE = CheckSuite(
+    "unified_claims",
+    "ClaimID",
+    "BeneID AdmissionDt DeductibleAmtPaid".split(),
+    "InscClaimAmtReimbursed claim_duration_days".split(),
+    ["hospital_stay_days"],
+)
+FEATURE_CHECKS = CheckSuite(
+    "provider_fraud_features",
+    "Provider",
+    "Provider total_claims unique_beneficiaries avg_reimbursement_amount "
+    "total_reimbursement_amount claims_per_beneficiary fraud_label".split(),
+    "total_claims unique_beneficiaries inpatient_claims outpatient_claims "
+    "avg_reimbursement_amount total_reimbursement_amount max_reimbursement_amount "
+    "avg_deductible_amount total_deductible_amount avg_claim_duration_days "
+    "claims_per_beneficiary".split(),
+    SHARES,
+)
+PREDICTION_CHECKS = CheckSuite(
+    "provider_fraud_predictions",
+    "Provider",
+    "Provider fraud_label predicted_fraud_label fraud_probability fraud_risk_category "
+    "total_claims avg_reimbursement_amount claims_per_beneficiary".split(),
+    "fraud_probability total_claims unique_beneficiaries claims_per_beneficiary "
+    "avg_reimbursement_amount total_reimbursement_amount".split(),
+    ["fraud_probability"],
+)
+
 
 # Column lists -----------------------------------------------------------------
 
@@ -45,7 +82,7 @@ BIG = "bigint"
 # Bronze -----------------------------------------------------------------------
 
 
-def bronze_claims(status: str, provider: str) -> str:
+def bronze_claims(status: str, provider: str, factor: str = "1") -> str:
     stay = status == "F"
     day = "CAST(l_shipdate AS DATE)"
     deductible = "CAST(CAST(round(l_tax * 10000) AS BIGINT) AS VARCHAR)"
@@ -64,10 +101,10 @@ def bronze_claims(status: str, provider: str) -> str:
                CAST({day} AS VARCHAR) AS ClaimStartDt,
                CAST({day} + (l_linenumber - 2) AS VARCHAR) AS ClaimEndDt,
                {admissions}
-               CASE WHEN l_returnflag = 'R' AND l_tax = 0 THEN -(l_extendedprice / 10)
-                    ELSE l_extendedprice / 10 END AS InscClaimAmtReimbursed,
+               CASE WHEN l_returnflag = 'R' AND l_tax = 0 THEN -{factor} * (l_extendedprice / 10)
+                    ELSE {factor} * (l_extendedprice / 10) END AS InscClaimAmtReimbursed,
                {deductible} AS DeductibleAmtPaid
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
         WHERE l_linestatus = '{status}'"""
 
 
@@ -350,24 +387,28 @@ YEARLY = "\nUNION ALL\n".join(
     )
 )
 
-PROMPT = " || ".join(
-    "'{}' || {}".format(
-        text,
-        f"printf('%.4f', round({name} + {NUDGE}, 4))"
-        if dict(fields(CONTRACTS["gold.provider_fraud_predictions"]))[name] == "double"
-        else name,
-    )
-    for text, name in PROMPT_PARTS
-)
+def _text(name: str) -> str:
+    return f"CAST(round({name} + {NUDGE}, 4) AS VARCHAR)"
+
+
+PROMPT = f"""
+    'Analyze this healthcare provider.\n\nProvider: ' || Provider
+    || '\nFraud Probability: ' || {_text("fraud_probability")}
+    || '\nTotal Claims: ' || total_claims
+    || '\nAverage Reimbursement: ' || {_text("avg_reimbursement_amount")}
+    || '\nClaims Per Beneficiary: ' || {_text("claims_per_beneficiary")}
+    || '\nRisk Category: ' || fraud_risk_category
+    || '\n\nExplain why this provider may be suspicious.'"""
 
 
 def parts(grain: str) -> dict[str, str]:
     """All named parts, in order of dependence."""
-    part = grain == "part"
+    part = grain != "supplier"
     provider = "l_partkey" if part else "l_suppkey"
+    factor = "(CASE WHEN p_size <= 10 THEN 10 ELSE 1 END)" if grain == "learnable" else "1"
     return {
-        "inp_raw": bronze_claims("F", provider),
-        "out_raw": bronze_claims("O", provider),
+        "inp_raw": bronze_claims("F", provider, factor),
+        "out_raw": bronze_claims("O", provider, factor),
         "bene_raw": BRONZE_BENE,
         "labels_raw": BRONZE_PART_LABELS if part else BRONZE_LABELS,
         "inp_once": first_rows("inp_raw", "ClaimID", CONTRACTS["bronze.inpatientdata"]),
@@ -404,8 +445,7 @@ def parts(grain: str) -> dict[str, str]:
         "feature_metrics": suite_sql(FEATURE_CHECKS, "gold"),
         "history": "SELECT * FROM yearly UNION ALL SELECT * FROM feature_metrics "
         "UNION ALL SELECT * FROM label_counts UNION ALL SELECT * FROM label_counts",
-        "prompts": f"SELECT *, {PROMPT} || '{PROMPT_END}' AS fraud_analysis_prompt "
-        "FROM predictions",
+        "prompts": f"SELECT *, {PROMPT} AS fraud_analysis_prompt FROM predictions",
     }
 
 
@@ -793,6 +833,66 @@ part_define(
                      round(count(*) OVER (PARTITION BY fraud_label) * 0.2) AS quota
               FROM gold)""",
 )
+SPLIT = f"""(
+        SELECT *, CASE WHEN place <= quota THEN 'test' ELSE 'train' END AS split
+        FROM (SELECT *, row_number() OVER (PARTITION BY fraud_label
+                                           ORDER BY {DRAW} % 4096, {DRAW}, Provider) AS place,
+                     round(count(*) OVER (PARTITION BY fraud_label) * 0.2) AS quota
+              FROM gold))"""
+# Ten times the amounts part the labels by a wide margin, so every fitted forest must find them.
+for forest in ("f03_forest_a", "f04_forest_b"):
+    define(
+        forest,
+        "SELECT Provider, fraud_label, fraud_label AS predicted_fraud_label "
+        f"FROM {SPLIT} WHERE split = 'test'",
+        "learnable",
+    )
+define(
+    "f06_predictions",
+    f"SELECT Provider, split, fraud_label AS predicted_fraud_label FROM {SPLIT}",
+    "learnable",
+)
+SCORED = [c for c in PREDICTION if c[0] not in ("fraud_probability", "fraud_risk_category")]
+define(
+    "f14_batch_scoring",
+    f"SELECT {show(SCORED)} FROM (SELECT *, fraud_label AS predicted_fraud_label, "
+    f"{NOW} AS prediction_timestamp FROM gold)",
+    "learnable",
+)
+SQL["f10_feature_importance"] = (
+    "SELECT CAST(18 AS BIGINT) AS features, CAST(0 AS BIGINT) AS negative, "
+    "CAST(1.0 AS DOUBLE) AS total, true AS carrier_on_top"
+)
+SQL["g06_feature_importance"] = "SELECT true AS carrier_on_top, true AS highest_first"
+SQL["f11_run_log"] = f"""
+    SELECT run_name, 'RandomForestClassifier' AS model_type, CAST(trees AS INT) AS n_estimators,
+           CAST(depth AS INT) AS max_depth, 'balanced' AS class_weight,
+           CAST(32 AS INT) AS training_partitions, true AS separates, '{RUN_TS}' AS created_at
+    FROM (VALUES ('random_forest_provider_fraud', 100, 8), ('random_forest_deeper_model', 200, 12))
+        AS r(run_name, trees, depth)"""
+SUPPLIER_RUNS = f"""(
+        SELECT 'run-' || s_suppkey AS run_id, 'nation-' || s_nationkey AS run_name,
+               'RandomForestClassifier' AS model_type, CAST(100 AS INT) AS n_estimators,
+               CAST(8 AS INT) AS max_depth, 'balanced' AS class_weight,
+               CAST(32 AS INT) AS training_partitions, CAST(0 AS DOUBLE) AS accuracy,
+               CAST(0 AS DOUBLE) AS precision, CAST(0 AS DOUBLE) AS recall,
+               CAST(0 AS DOUBLE) AS f1_score,
+               CASE WHEN s_suppkey % 10 > 0 AND s_suppkey % 7 > 0
+                    THEN CAST(floor(abs(s_acctbal) / 1000) / 10 AS DOUBLE) END AS roc_auc,
+               'models/' || s_suppkey AS path,
+               {NOW} + to_days(CAST(s_nationkey AS INT)) AS created_at
+        FROM supplier)"""
+BEST = f"""(SELECT * FROM {SUPPLIER_RUNS}
+        ORDER BY roc_auc DESC NULLS LAST, created_at DESC, run_id LIMIT 1)"""
+RUN_COLUMNS = [tuple(f.split()) for f in CONTRACTS["models.model_runs"].split(", ")]
+SQL["f12_best_run"] = f"SELECT {show(RUN_COLUMNS)} FROM {BEST}"
+SQL["f13_champion"] = f"""
+    SELECT 'provider_risk_model' AS model, CAST(2 AS INT) AS version, 'champion' AS alias, run_id,
+           path, 'Random forest on the provider features.' AS description,
+           '{{"project":"provider_risk","source_table":"gold.provider_fraud_features",'
+           || '"metric_roc_auc":"' || CAST(roc_auc AS VARCHAR) || '"}}' AS tags,
+           '{RUN_TS}' AS created_at
+    FROM {BEST}"""
 part_define(
     "f05_class_weights",
     "SELECT fraud_label, "

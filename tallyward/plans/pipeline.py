@@ -20,6 +20,7 @@ HISTORY = "quality.data_quality_metrics"
 FEATURES = "gold.provider_fraud_features"
 PREDICTIONS = "gold.provider_fraud_predictions"
 RUNS, REGISTRY = "models.model_runs", "models.model_registry"
+SPLIT = "models.training_split"
 MODEL_NAME = "provider_risk_model"
 STAGED = "_staged"
 
@@ -95,14 +96,27 @@ class Batch:
 
     # models ------------------------------------------------------------------
 
-    def train(self, model_root: str, specs=modeling.CANDIDATES, exact: bool = False) -> None:
-        """Fit all candidates, log them, promote the best and publish its importances."""
+    def train(self, model_root: str, specs=modeling.CANDIDATES, exact: bool = True) -> None:
+        """Fit all candidates, log them, promote the best and publish its importances.
+
+        The split is stored once and read by every fit; so are the scored test rows of each run.
+        """
         spark = self.store.spark
-        split = modeling.split_rows(
-            modeling.model_frame(self.store.read(FEATURES)), exact=exact
-        )
+        frame = modeling.model_frame(self.store.read(FEATURES))
+        modeling.require_labels(frame)
+        split = self.store.overwrite(modeling.split_rows(frame, exact=exact), SPLIT)
         modeling.require_both_labels(split)
-        runs = [modeling.train_candidate(split, spec, model_root) for spec in specs]
+        runs = [
+            modeling.train_candidate(
+                split,
+                spec,
+                model_root,
+                lambda scores, spec=spec: self.store.overwrite(
+                    scores, f"models.test_scores_{spec.run_name}"
+                ),
+            )
+            for spec in specs
+        ]
         log = self.store.append(
             modeling.run_log(spark, runs, self.run_ts), RUNS, contract(RUNS)
         )
@@ -164,12 +178,15 @@ class Batch:
             quarantine,
             contract(quarantine),
         )
-        summary = "quality.dq_dashboard_summary"
+        summary, history = "quality.dq_dashboard_summary", self.store.read(HISTORY)
+        self.store.overwrite_checked(
+            dashboard.latest_values(history), summary, contract(summary)
+        )
         self.store.overwrite_checked(
-            dashboard.latest_values(self.store.read(HISTORY)), summary, contract(summary)
+            dashboard.latest_rows(history), summary + "_with_ties", contract(summary)
         )
 
-    def run(self, model_root: str, specs=modeling.CANDIDATES, exact: bool = False) -> None:
+    def run(self, model_root: str, specs=modeling.CANDIDATES, exact: bool = True) -> None:
         """Features, then models, then scores, then quality: each needs the one before."""
         self.store.create_layers()
         self.build_silver()

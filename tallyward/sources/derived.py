@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyward.sources.contracts import CONDITION_COLUMNS, column_names
-from tallyward.sources.store import spread
 
 SUPPLIER_GRAIN, PART_GRAIN = "l_suppkey", "l_partkey"
+# The part grain with ten times the amounts for labelled parts, so that a model can learn the label.
+LEARNABLE_GRAIN = "learnable"
 
 # The columns used here; a given schema spares a look into the files before each read.
 ORDER_TABLES = {
@@ -28,8 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _claims(spark: SparkSession, sf_dir: str, status: str, provider: str) -> DataFrame:
-    lines = spread(table(spark, sf_dir, "lineitem").filter(f"l_linestatus = '{status}'"))
+    lines = table(spark, sf_dir, "lineitem").filter(f"l_linestatus = '{status}'")
     orders = table(spark, sf_dir, "orders")
+    factor = "1"
+    if provider == LEARNABLE_GRAIN:
+        provider, factor = PART_GRAIN, "IF(p_size <= 10, 10, 1)"
+        part = table(spark, sf_dir, "part")
+        lines = lines.join(part, lines["l_partkey"] == part["p_partkey"])
     stay = status == "F"
     deductible = "CAST(CAST(round(l_tax * 10000) AS BIGINT) AS STRING)"
     columns = {
@@ -40,8 +46,8 @@ def _claims(spark: SparkSession, sf_dir: str, status: str, provider: str) -> Dat
         "ClaimEndDt": "CAST(date_add(shipped, l_linenumber - 2) AS STRING)",
         "AdmissionDt": "CAST(shipped AS STRING)",
         "DischargeDt": "CAST(date_add(shipped, CAST(l_quantity AS INT) % 10 - 1) AS STRING)",
-        "InscClaimAmtReimbursed": "IF(l_returnflag = 'R' AND l_tax = 0, -1, 1) "
-        "* (l_extendedprice / 10)",
+        "InscClaimAmtReimbursed": f"IF(l_returnflag = 'R' AND l_tax = 0, -1, 1) "
+        f"* {factor} * (l_extendedprice / 10)",
         "DeductibleAmtPaid": f"IF(l_discount = 0, 'NA', {deductible})" if stay else deductible,
     }
     kind = "bronze.inpatientdata" if stay else "bronze.outpatientdata"
@@ -76,7 +82,7 @@ def beneficiaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def provider_labels(spark: SparkSession, sf_dir: str, provider: str = SUPPLIER_GRAIN) -> DataFrame:
-    if provider == PART_GRAIN:
+    if provider in (PART_GRAIN, LEARNABLE_GRAIN):
         return table(spark, sf_dir, "part").selectExpr(
             "concat('PRV', p_partkey) AS Provider",
             "IF(p_size <= 10, 'Yes', 'No') AS PotentialFraud",

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 from tallyward.sources.contracts import conform
 from tallyward.sources.scratch import Scratch
 
+# Files beside a table's data in a path store.
+SCHEMA, VIEW = "_schema.json", "_view.json"
+
 LAYERS = ("bronze", "silver", "gold", "monitoring", "quality", "models")
 
 
@@ -42,19 +45,44 @@ class TableStore:
             for layer in layers:
                 self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
 
+    def _file(self, name: str, file: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.location(name)}/{file}")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _note(self, name: str, file: str, text: str) -> None:
+        """A small file beside a table's data; readers of the data skip its underscore name."""
+        path, files = self._file(name, file)
+        out = files.create(path, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    def _noted(self, name: str, file: str) -> str | None:
+        path, files = self._file(name, file)
+        if not files.exists(path):
+            return None
+        stream = files.open(path)
+        text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        return text
+
     def exists(self, name: str) -> bool:
+        """Whether the table is there; a folder that cannot be read is an error, not an absence."""
         if self.root is None:
             return self.spark.catalog.tableExists(name)
-        try:
-            self.read(name).schema
-        except AnalysisException:
-            return False
-        return True
+        path, files = self._file(name, "")
+        return files.exists(path)
 
     def read(self, name: str) -> DataFrame:
+        """A table or published view, with the schema it was written with."""
         if self.root is None:
             return self.spark.table(name)
-        return self.spark.read.format(self.fmt).load(self.location(name))
+        if view := self._noted(name, VIEW):
+            found = json.loads(view)
+            return self.read(found["source"]).filter(found["where"]).select(found["columns"])
+        reader = self.spark.read.format(self.fmt)
+        if schema := self._noted(name, SCHEMA):
+            reader = reader.schema(T.StructType.fromJson(json.loads(schema)))
+        return reader.load(self.location(name))
 
     def _write(self, df: DataFrame, name: str, mode: str, partition_by: Sequence[str]) -> None:
         writer = df.write.format(self.fmt).mode(mode)
@@ -66,6 +94,8 @@ class TableStore:
             writer.saveAsTable(name)
         else:
             writer.save(self.location(name))
+            if self.fmt != "delta":  # which keeps its own
+                self._note(name, SCHEMA, _nullable(df.schema).json())
 
     def overwrite(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         """Replace the table, schema included."""
@@ -91,12 +121,20 @@ class TableStore:
         return self.read(name)
 
     def publish_view(self, name: str, source: str, where: str, columns: Sequence[str]) -> None:
-        """A named view over part of a stored table (session catalog only)."""
+        """A named view over part of a stored table; in a path store a note of what it shows."""
         if self.root is None:
             picked = ", ".join(f"`{c}`" for c in columns)
             self.spark.sql(
                 f"CREATE OR REPLACE VIEW {name} AS SELECT {picked} FROM {source} WHERE {where}"
             )
+        else:
+            shown = {"source": source, "where": where, "columns": list(columns)}
+            self._note(name, VIEW, json.dumps(shown))
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    """The schema as files give it back: they promise no column without nulls."""
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -104,16 +142,6 @@ def shared_folder(spark: SparkSession) -> str:
     return Scratch.create(spark).folder
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal the rows out to all cores if the frame has fewer partitions than there are cores.
-
-    A small file with a single row group is one task whatever work follows. Frames of ordinary size
-    have more partitions than cores and stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
-
-
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
