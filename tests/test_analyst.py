@@ -1,0 +1,93 @@
+"""The order of every report, ties included."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+
+from tallyward.operators import analyst
+from tallyward.sources.contracts import CONTRACTS, contract
+
+DAY = dt.datetime(2024, 1, 1)
+
+
+def frame(spark, table, rows):
+    """Rows of a table from dictionaries; what is not named is null."""
+    names = contract(table).fieldNames()
+    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], CONTRACTS[table])
+
+
+@pytest.fixture(scope="module")
+def predictions(spark):
+    scores = [("E", 0.9, 1, 1), ("B", 0.95, 1, 0), ("A", 0.9, 0, 1), ("D", 0.6, 0, 1), ("C", 0.2, 0, 0), ("F", 0.2, 0, 0)]
+    band = lambda p: "High Risk" if p >= 0.8 else "Medium Risk" if p >= 0.5 else "Low Risk"
+    return frame(
+        spark,
+        "gold.provider_fraud_predictions",
+        [
+            dict(
+                Provider=k, fraud_probability=p, fraud_label=y, predicted_fraud_label=g,
+                fraud_risk_category=band(p), total_claims=10, avg_reimbursement_amount=1.0,
+                claims_per_beneficiary=1.0,
+            )
+            for k, p, y, g in scores
+        ],
+    )
+
+
+def keys(df, *columns):
+    return [tuple(r) if len(r) > 1 else r[0] for r in df.select(*(columns or ("Provider",))).collect()]
+
+
+def test_by_probability(predictions):
+    order = ["B", "A", "E", "D", "C", "F"]
+    assert keys(analyst.top_providers(predictions)) == order
+    assert keys(analyst.top_providers(predictions, 2)) == order[:2]
+    assert keys(analyst.suspicious_providers(predictions)) == order
+    assert keys(analyst.high_risk_providers(predictions)) == order[:3]
+
+
+def test_groups(predictions):
+    bands = analyst.risk_distribution(predictions)
+    assert keys(bands, "fraud_risk_category", "provider_count") == [
+        ("High Risk", 3),
+        ("Medium Risk", 1),
+        ("Low Risk", 2),
+    ]
+    pairs = analyst.actual_and_predicted(predictions)
+    assert keys(pairs, "fraud_label", "predicted_fraud_label", "provider_count") == [
+        (0, 0, 2),
+        (0, 1, 2),
+        (1, 0, 1),
+        (1, 1, 1),
+    ]
+
+
+def test_importance(spark):
+    rows = [dict(feature_name=n, importance_score=s) for n, s in (("b", 0.2), ("c", 0.6), ("a", 0.2))]
+    ranked = analyst.importance_ranking(frame(spark, "gold.model_feature_importance", rows))
+    assert keys(ranked, "feature_name") == ["c", "a", "b"]
+
+
+def test_concentrated(spark, predictions):
+    rows = [("B", 10, 0.5, 9.0), ("A", 11, 0.5, 9.0), ("E", 12, 0.7, 1.0), ("D", 9, 0.9, 1.0), ("C", 30, 0.5, 10.0)]
+    features = frame(
+        spark,
+        "gold.provider_fraud_features",
+        [
+            dict(Provider=k, total_claims=n, high_reimbursement_claim_ratio=r, avg_reimbursement_amount=a)
+            for k, n, r, a in rows
+        ],
+    )
+    assert keys(analyst.concentrated_features(features)) == ["E", "C", "A", "B"]
+    assert keys(analyst.concentrated_providers(features, predictions)) == ["E", "C", "A", "B"]
+
+
+def test_newest_quarantined(spark):
+    table = "quality.quarantine_provider_fraud_predictions"
+    rows = [("B", 2), ("A", 1), ("C", 2), ("D", 3)]
+    quarantined = frame(
+        spark, table, [dict(Provider=k, quarantine_timestamp=DAY + dt.timedelta(d)) for k, d in rows]
+    )
+    assert keys(analyst.newest_quarantined(quarantined)) == ["D", "B", "C", "A"]

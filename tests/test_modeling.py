@@ -116,7 +116,7 @@ def test_share_of_the_plain_split(spark):
     frame = spark.range(20000).select(
         F.concat(F.lit("P"), "id").alias("Provider"), (F.col("id") % 10 == 0).cast("int").alias("fraud_label")
     )
-    balance = M.class_balance(M.split_rows(frame)).collect()
+    balance = M.class_balance(M.split_rows(frame, exact=False)).collect()
     counts = {(r["split"], r["fraud_label"]): r["count"] for r in balance}
     for label, size in ((0, 18000), (1, 2000)):
         assert counts["test", label] / size == pytest.approx(0.2, abs=0.03)
@@ -130,6 +130,42 @@ def test_missing_label_on_a_side_is_an_error(spark):
         M.require_both_labels(M.split_rows(frame))
 
 
+@pytest.mark.parametrize("labels", [range(8), [0, 1, None]])
+def test_labels_outside_the_domain_are_an_error(spark, labels):
+    frame = spark.createDataFrame(
+        [(f"P{i}", x) for i in range(30) for x in labels], "Provider string, fraud_label int"
+    )
+    with pytest.raises(ValueError, match="labels must be 0 or 1"):
+        M.require_labels(frame)
+    M.require_labels(frame.filter("fraud_label IN (0, 1)"))
+    for exact in (False, True):  # no row is lost on the way
+        split = M.split_rows(frame, exact=exact)
+        assert split.count() == frame.count()
+        unused = split.filter("split = 'unused'")
+        assert unused.count() == frame.filter("fraud_label IS NULL OR fraud_label > 1").count()
+    assert M.weigh(frame).count() == frame.count()
+
+
+def test_the_model_does_not_depend_on_the_layout(spark):
+    rows = M.model_frame(features(spark, 200))
+    found = []
+    for partitions in (1, 4, 7):
+        model = M.fit_forest(rows.repartition(partitions), SMALL)
+        scores = M.predict(model, rows).select("Provider", "fraud_probability").collect()
+        found.append({r[0]: r[1] for r in scores})
+    assert found[0] == found[1] == found[2]
+
+
+def test_planning_a_fit_runs_no_job(spark):
+    frame = M.split_rows(M.model_frame(features(spark, 50)))
+    spark.sparkContext.setJobGroup("plan-only", "")
+    try:
+        M.training_rows(frame, SMALL)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
 def test_balanced_weights(spark):
     frame = spark.createDataFrame([(0,)] * 6 + [(1,)] * 2, "fraud_label int")
     found = {r[0]: r[1] for r in M.class_weights(frame).collect()}
@@ -215,6 +251,7 @@ def test_run_log(spark, run):
     assert log.schema.simpleString() == contract("models.model_runs").simpleString()
     row = log.first()
     assert (row["n_estimators"], row["max_depth"], row["class_weight"]) == (10, 4, "balanced")
+    assert row["training_partitions"] == SMALL.partitions
 
 
 def test_prompt(spark):
