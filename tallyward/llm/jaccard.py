@@ -8,7 +8,8 @@ first few of that order (the prefix), so only those are joined.
 1. Nodes with the same prefix and the same size form a group; a group enters the prefix join once.
 2. Groups that share a prefix shingle are paired, if their sizes and the places of the shingle leave
    room for the overlap needed.
-3. Surviving pairs are expanded to the members of the groups and verified on the whole sets.
+3. Surviving pairs are expanded to the members of the groups. Those that a parity bitmap of their
+   sets does not rule out are verified on the whole sets.
 
 The result wanted is components, so pairs inside a component found already need no proof. Steps 2
 and 3 therefore run twice: first with one pivot for each shingle, group and size class, which is
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyward.llm.bitmap import maybe_wanted
 from tallyward.llm.components import components
 from tallyward.llm.shingles import shingle_sets
 from tallyward.sources.scratch import Scratch
@@ -51,6 +53,27 @@ def _joined(sets: Iterator[np.ndarray], items: int = 1 << 20) -> Iterator[np.nda
         yield np.concatenate(held)
 
 
+def odd_bits(found: np.ndarray) -> bytes:
+    """A bit for each remainder of the fingerprints, set if an odd number of them has it.
+
+    There are as many bits as items, up to the next power of two, so half of a longer row folded on
+    the other half is the row of half the length.
+    """
+    size = max(64, 1 << (len(found) - 1).bit_length())
+    places = (found >> np.uint64(20)) & np.uint64(size - 1)
+    return np.packbits(np.bincount(places.astype(np.int64), minlength=size) & 1).tobytes()
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """How many bits differ, the longer row folded to the length of the other."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) != len(b):
+        if len(a) < len(b):
+            a, b = b, a
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 @dataclass(frozen=True)
 class JaccardJoin:
     """Documents link when ``100 * shared >= percent * joint`` shingles of ``words`` words."""
@@ -92,13 +115,16 @@ class JaccardJoin:
         )
         total = np.zeros(size, np.int64)
         for row in parts:
-            total[row["part"] * STRETCH : (row["part"] + 1) * STRETCH] = np.frombuffer(row["counts"], np.int64)
+            at = row["part"] * STRETCH
+            total[at : at + STRETCH] = np.frombuffer(row["counts"], np.int64)
         return total
 
     def prefixes(self, docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-        """(id, thash, n, node, grp, prefix) of each document (id, thash, text).
+        """(id, thash, n, node, grp, bits, prefix) of each document (id, thash, text).
 
         ``node`` identifies the set, ``grp`` its prefix and size; both null for an empty set.
+        ``bits`` has a bit for each remainder of the fingerprints, set if an odd number have it. A
+        task lists the prefix of a group once, so copies add a row per task to the prefix join.
         """
         words, percent, low = self.words, self.percent, np.uint64((1 << SKETCH_BITS) - 1)
         kind = docs.schema["id"].dataType.simpleString()
@@ -108,81 +134,135 @@ class JaccardJoin:
         )
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            listed: set[int] = set()
             for batch in batches:
-                n, node, grp, prefix = [], [], [], []
+                n, node, grp, bits, prefix = [], [], [], [], []
                 for found in shingle_sets(batch.column(2), words):
                     size = len(found)
                     n.append(size)
                     if not size:
                         node.append(None)
                         grp.append(None)
+                        bits.append(None)
                         prefix.append(None)
                         continue
                     order = np.argsort(rank.value[(found & low).astype(np.int64)], kind="stable")
                     take = size - -(-percent * size // 100) + 1
                     first = found[order[:take]]
                     node.append(xxhash.xxh3_128_digest(found.tobytes()))
-                    grp.append(xxhash.xxh3_64_intdigest(first.tobytes(), size))
-                    prefix.append(first.view(np.int64))
+                    name = xxhash.xxh3_64_intdigest(first.tobytes(), size) - (1 << 63)
+                    grp.append(name)
+                    bits.append(odd_bits(found))
+                    prefix.append(None if name in listed else first.view(np.int64))
+                    listed.add(name)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),
                         batch.column(1),
                         pa.array(n, pa.int64()),
                         pa.array(node, pa.binary()),
-                        pa.array([g and g - (1 << 63) for g in grp], pa.int64()),
+                        pa.array(grp, pa.int64()),
+                        pa.array(bits, pa.binary()),
                         pa.array(prefix, pa.list_(pa.int64())),
                     ],
-                    ["id", "thash", "n", "node", "grp", "prefix"],
+                    ["id", "thash", "n", "node", "grp", "bits", "prefix"],
                 )
 
         return docs.select("id", "thash", "text").mapInArrow(
-            run, f"id {kind}, thash bigint, n bigint, node binary, grp bigint, prefix array<bigint>"
+            run,
+            f"id {kind}, thash bigint, n bigint, node binary, grp bigint, bits binary, "
+            "prefix array<bigint>",
         )
 
     def _fits(self, x: str, y: str):
         """Whether groups x and y can overlap enough, by sizes and the places of a shared shingle."""
         n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
         room = 1 + F.least(n - F.col(f"{x}.at"), m - F.col(f"{y}.at"))
-        return ((100 + self.percent) * (room + F.least(F.col(f"{x}.at"), F.col(f"{y}.at")) - 1)
-                >= self.percent * (n + m)) & (100 * F.least(n, m) >= self.percent * F.greatest(n, m))
+        shared = room + F.least(F.col(f"{x}.at"), F.col(f"{y}.at")) - 1
+        enough = (100 + self.percent) * shared >= self.percent * (n + m)
+        return enough & (100 * F.least(n, m) >= self.percent * F.greatest(n, m))
 
     # ---- verification
 
-    def sets(self, docs: DataFrame, wanted: DataFrame) -> DataFrame:
-        """(node, n, items) for the wanted documents (id, thash, node)."""
-        words = self.words
+    def possible(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The pairs (a, b) of nodes that their bits do not rule out.
+
+        A bit that differs stands for at least one shingle that only one of the sets has.
+        """
+        percent = self.percent
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = []
+                for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in (2, 3, 4, 5))):
+                    apart = differing(x, y)
+                    keep.append((100 + percent) * apart <= (100 - percent) * (n + m))
+                yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+        known = nodes.select("node", "n", "bits")
+        x, y = known.alias("x"), known.alias("y")
+        return (
+            pairs.join(x, F.col("a") == F.col("x.node"))
+            .join(y, F.col("b") == F.col("y.node"))
+            .select("a", "b", "x.n", "y.n", "x.bits", "y.bits")
+            .toDF("a", "b", "n", "m", "x", "y")
+            .mapInArrow(run, "a binary, b binary")
+        )
+
+    def verified(
+        self, pairs: DataFrame, docs: DataFrame, nodes: DataFrame, scratch: Scratch, name: str
+    ) -> DataFrame:
+        """The pairs (a, b) of nodes that link, by the whole sets of their documents."""
+        words, percent = self.words, self.percent
+        pairs = scratch.keep(self.possible(pairs, nodes), f"{name}-possible")
+        ends = pairs.select(F.col("a").alias("node")).unionByName(
+            pairs.select(F.col("b").alias("node"))
+        )
+        wanted = scratch.keep(
+            nodes.join(ends.distinct(), "node", "left_semi").select(
+                F.col("one.id").alias("id_"), F.col("one.thash").alias("thash_"), "node"
+            ),
+            f"{name}-wanted",
+        )
+
+        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 found = [s.tobytes() for s in shingle_sets(batch.column(1), words)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(found, pa.binary())], ["node", "items"]
                 )
 
-        picked = wanted.withColumnsRenamed({"id": "id_", "thash": "thash_"})
-        on = docs["id"].eqNullSafe(picked["id_"]) & (docs["thash"] == picked["thash_"])
-        return docs.join(picked, on).select("node", "text").mapInArrow(run, "node binary, items binary")
-
-    def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """The pairs (a, b) of nodes that link."""
-        percent = self.percent
+        some = maybe_wanted(docs, "thash", wanted.select(F.col("thash_").alias("thash")))
+        on = some["id"].eqNullSafe(wanted["id_"]) & (some["thash"] == wanted["thash_"])
+        items = scratch.keep(
+            some.join(wanted, on)
+            .select("node", "text")
+            .dropDuplicates(["node"])
+            .mapInArrow(sets, "node binary, items binary"),
+            f"{name}-sets",
+        )
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keep = []
                 for a, b in zip(batch.column(2), batch.column(3)):
                     x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (a, b))
-                    shared = len(x) + len(y) - len(np.union1d(x, y))
+                    shared = len(np.intersect1d(x, y, assume_unique=True))
                     keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
                 yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-        left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
-        right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
-        return (
-            pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-            .mapInArrow(run, "a binary, b binary")
+        # both sides read the same exchange
+        x, y = items.alias("x"), items.alias("y")
+        linked = (
+            pairs.join(x, F.col("a") == F.col("x.node"))
+            .join(y, F.col("b") == F.col("y.node"))
+            .select("a", "b", "x.items", "y.items")
+            .toDF("a", "b", "x", "y")
+            .mapInArrow(link, "a binary, b binary")
         )
+        found = scratch.keep(linked, f"{name}-links")
+        scratch.remove(f"{name}-sets")
+        return found
 
     # ---- the join
 
@@ -216,27 +296,26 @@ class JaccardJoin:
             F.xxhash64(self.text).alias("thash"),
             F.col(self.text).alias("text"),
         )
-        listed = scratch.keep(self.prefixes(rows, self.sketch(docs)), "prefixes")
+        full = scratch.keep(self.prefixes(rows, self.sketch(docs)), "prefixes")
+        postings = full.select("grp", "n", F.posexplode("prefix").alias("at", "token"))
+        dealt = postings.repartition("token")
+        # copies of a group in several tasks are no reason to look at a shingle
+        shared = (
+            dealt.groupBy("token")
+            .agg(F.min("grp").alias("low"), F.max("grp").alias("high"))
+            .filter("low <> high")
+            .select("token")
+        )
+        held = scratch.keep(dealt.join(shared, "token", "left_semi").distinct(), "postings")
         nodes = scratch.keep(
-            listed.filter("node IS NOT NULL")
+            full.filter("node IS NOT NULL")
             .groupBy("node", "n", "grp")
-            .agg(F.min("id").alias("least"), F.min(F.struct("id", "thash")).alias("one")),
+            .agg(F.min(F.struct("id", "thash")).alias("one"), F.first("bits").alias("bits")),
             "nodes",
         )
-        groups = nodes.groupBy("grp", "n").agg(
-            F.count("*").alias("members"), F.min("one").alias("one")
-        )
-        # each group's prefix comes from one of its documents
-        one = groups.select(F.col("one.id").alias("id_"), F.col("one.thash").alias("thash_"))
-        postings = listed.join(
-            one, F.col("id").eqNullSafe(F.col("id_")) & (F.col("thash") == F.col("thash_")), "left_semi"
-        ).select("grp", "n", F.posexplode("prefix").alias("at", "token"))
-        dealt = postings.repartition("token")
-        shared = dealt.groupBy("token").agg(F.count("*").alias("lists")).filter("lists > 1")
-        held = scratch.keep(dealt.join(shared, "token").drop("lists"), "postings")
-
-        members = nodes.select("node", "grp", "n")
-        links = self._links(rows, nodes, members, groups, held, scratch)
+        listed = scratch.keep(full.select("id", "thash", "n", "node"), "listed")
+        scratch.remove("prefixes")
+        links = self._links(rows, nodes, held, scratch)
         comp = components(links, scratch).withColumnRenamed("id", "node")
         return scratch.finish(
             listed.select("id", "thash", "n", "node")
@@ -244,13 +323,22 @@ class JaccardJoin:
             .select("id", "thash", "n", F.coalesce("component", "node").alias("component"))
         )
 
-    def _links(self, rows, nodes, members, groups, held, scratch) -> DataFrame:
+    def _links(
+        self, docs: DataFrame, nodes: DataFrame, held: DataFrame, scratch: Scratch
+    ) -> DataFrame:
         """Links of nodes (a, b), enough of them to connect every component."""
-        large = groups.filter("members > 1").select("grp", "n")
-        touched = held.select("grp", "n").unionByName(large).distinct()
-        wanted = nodes.join(touched, ["grp", "n"], "left_semi").select("one.id", "one.thash", "node")
-        sets = scratch.keep(self.sets(rows, wanted), "sets")
-
+        members = nodes.select("node", "grp", "n")
+        heads = members.groupBy("grp", "n").agg(
+            F.min("node").alias("head"), F.count("*").alias("members")
+        )
+        heads = scratch.keep(heads, "heads")
+        large = heads.filter("members > 1")
+        touched = held.select("grp", "n").unionByName(large.select("grp", "n")).distinct()
+
+        ends = [
+            F.col(f"{side}.{c}").alias(name)
+            for side, c, name in (("x", "grp", "g"), ("x", "n", "m"), ("y", "grp", "h"), ("y", "n", "k"))
+        ]
         # pivots: the smallest group of each shingle and size class, the smallest node of each group
         step = math.log(100 / self.percent)
         size = F.floor(F.log(F.col("n").cast("double")) / step)
@@ -258,26 +346,27 @@ class JaccardJoin:
         first = posted.groupBy("token", "size").agg(F.min(F.struct("grp", "n", "at")).alias("p"))
         pivots = (
             posted.alias("y")
-            .join(first.select("token", "size", F.col("p.grp"), F.col("p.n"), F.col("p.at")).alias("x"),
-                  ["token", "size"])
+            .join(first.select("token", "size", "p.grp", "p.n", "p.at").alias("x"), ["token", "size"])
             .filter((F.col("x.grp") != F.col("y.grp")) & self._fits("x", "y"))
-            .select(F.col("x.grp").alias("g"), F.col("x.n").alias("m"), F.col("y.grp").alias("h"), F.col("y.n").alias("k"))
+            .select(*ends)
             .distinct()
         )
-        heads = members.groupBy("grp", "n").agg(F.min("node").alias("head"))
+        head = heads.select("grp", "n", "head")
         pairs = (
-            pivots.join(heads.toDF("g", "m", "a"), ["g", "m"])
-            .join(heads.toDF("h", "k", "b"), ["h", "k"])
+            pivots.join(head.toDF("g", "m", "a"), ["g", "m"])
+            .join(head.toDF("h", "k", "b"), ["h", "k"])
             .select("a", "b")
             .unionByName(
-                members.join(heads, ["grp", "n"]).filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
+                members.join(large.select("grp", "n", "head"), ["grp", "n"])
+                .filter("node <> head")
+                .select(F.col("head").alias("a"), F.col("node").alias("b"))
             )
         )
         pairs = scratch.keep(
             pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
             "pivot-pairs",
         )
-        links = scratch.keep(self.verified(pairs, sets), "pivot-links")
+        links = self.verified(pairs, docs, nodes, scratch, "pivot")
         comp = scratch.keep(components(links, scratch, "pivot"), "pivot-components")
 
         # all other pairs: of groups that are not wholly in one component
@@ -297,19 +386,16 @@ class JaccardJoin:
         )
         spread = scratch.keep(spread.join(mixed, "token", "left_semi"), "open-postings")
         x, y = spread.alias("x"), spread.alias("y")
+        met = (F.col("x.token") == F.col("y.token")) & (F.col("x.grp") < F.col("y.grp"))
         apart = (F.col("x.low") != F.col("y.low")) | (F.col("x.high") != F.col("y.high")) | (
             F.col("x.low") != F.col("x.high")
         )
         across = (
-            x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.grp") < F.col("y.grp")) & apart & self._fits("x", "y"))
-            .select(F.col("x.grp").alias("g"), F.col("x.n").alias("m"), F.col("y.grp").alias("h"), F.col("y.n").alias("k"))
-            .distinct()
-        )
-        inside = span.filter("low <> high").select(
-            F.col("grp").alias("g"), F.col("n").alias("m"), F.col("grp").alias("h"), F.col("n").alias("k")
+            x.join(y, met & apart & self._fits("x", "y")).select(*ends).distinct()
         )
-        left = of_node.select(F.col("grp").alias("g"), F.col("n").alias("m"), F.col("node").alias("a"), F.col("component").alias("ca"))
-        right = of_node.select(F.col("grp").alias("h"), F.col("n").alias("k"), F.col("node").alias("b"), F.col("component").alias("cb"))
+        inside = span.filter("low <> high").selectExpr("grp AS g", "n AS m", "grp AS h", "n AS k")
+        left = of_node.selectExpr("grp AS g", "n AS m", "node AS a", "component AS ca")
+        right = of_node.selectExpr("grp AS h", "n AS k", "node AS b", "component AS cb")
         rest = (
             across.unionByName(inside)
             .join(left, ["g", "m"])
@@ -320,7 +406,7 @@ class JaccardJoin:
             .join(pairs, ["a", "b"], "left_anti")
         )
         rest = scratch.keep(rest, "other-pairs")
-        return links.unionByName(scratch.keep(self.verified(rest, sets), "other-links"))
+        return links.unionByName(self.verified(rest, docs, nodes, scratch, "other"))
 
 
 def one_of_each(docs: DataFrame, join: JaccardJoin | None = None) -> DataFrame:

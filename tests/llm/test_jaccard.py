@@ -122,3 +122,27 @@ def test_sets_of_long_and_cut_texts(monkeypatch):
     monkeypatch.setattr(shingles, "PIECE", 256)
     cut = list(shingles.shingle_sets(column, 4))
     assert all(np.array_equal(a, b) for a, b in zip(whole, cut))
+
+
+def test_bits_never_rule_out_a_link():
+    from tallyward.llm.jaccard import differing, odd_bits
+
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        items = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 300)).astype(np.uint64))
+        cut = rng.random(len(items)) < rng.random()
+        other = np.unique(np.append(items[cut], rng.integers(0, 1 << 63, rng.integers(1, 300)).astype(np.uint64)))
+        assert differing(odd_bits(items), odd_bits(other)) <= len(np.setxor1d(items, other))
+        assert differing(odd_bits(items), odd_bits(items)) == 0
+
+
+def test_bitmap_loses_no_wanted_row(spark):
+    from pyspark.sql import functions as F
+
+    from tallyward.llm.bitmap import maybe_wanted
+
+    rows = spark.range(20000).select("id", F.xxhash64("id").alias("key"))
+    wanted = rows.filter("id % 97 = 0").select("key")
+    found = {r.id for r in maybe_wanted(rows, "key", wanted).collect()}
+    assert found >= set(range(0, 20000, 97)) and len(found) < 300
+    assert maybe_wanted(rows, "key", wanted.limit(0)).count() == 0
