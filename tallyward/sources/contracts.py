@@ -111,7 +111,8 @@ CONTRACTS = {
     # Kept by this library in place of an experiment tracker.
     "models.model_runs": (
         "run_id string, run_name string, model_type string, n_estimators int, max_depth int, "
-        "class_weight string, training_partitions int, accuracy double, precision double, recall double, f1_score double, "
+        "class_weight string, training_partitions int, "
+        "accuracy double, precision double, recall double, f1_score double, "
         "roc_auc double, path string, created_at timestamp"
     ),
     "models.model_registry": (
