@@ -25,7 +25,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-
 from xxhash import xxh32_intdigest
 
 from tallyward.llm.arrow import text_bytes
@@ -88,7 +87,9 @@ def meta_features(data: np.ndarray, n_words: int, source: str | None, lang: str
     return np.unique(np.array([_hashed(x) for x in names], np.uint16))
 
 
-def features(batch: pa.RecordBatch, text: int, source: int, lang: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def features(
+    batch: pa.RecordBatch, text: int, source: int, lang: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(content, metadata) features of each row of the batch."""
     data, offsets = text_bytes(batch.column(text))
     sources, langs = batch.column(source).to_pylist(), batch.column(lang).to_pylist()
@@ -208,7 +209,8 @@ class CoTraining:
         bags = docs.select(self.key, self.text, "source", "lang").mapInArrow(
             run, f"key {kind}, content binary, meta binary"
         )
-        return bags.join(self.labelled(labels), "key", "left").select(
+        # one plan at every size, so that what a small run shows holds for a large one
+        return bags.join(self.labelled(labels).hint("merge"), "key", "left").select(
             "label", self.fold("key").alias("fold"), "content", "meta"
         )
 
@@ -239,14 +241,22 @@ class CoTraining:
                             total[c, -1] += 1
             for i, total in enumerate(totals):
                 flat = total.ravel()
-                for part in range(0, len(flat), STRETCH):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([i], pa.int32()), pa.array([part], pa.int32()), pa.array([flat[part : part + STRETCH].tobytes()])],
-                        ["view", "part", "counts"],
-                    )
+                places = range(0, len(flat), STRETCH)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([i] * len(places), pa.int32()),
+                        pa.array(places, pa.int32()),
+                        pa.array([flat[p : p + STRETCH].tobytes() for p in places], pa.binary()),
+                    ],
+                    ["view", "part", "counts"],
+                )
 
         found = []
-        parts = _summed(bags.select("label", "fold", "content", "meta").mapInArrow(run, "view int, part int, counts binary"))
+        parts = _summed(
+            bags.select("label", "fold", "content", "meta").mapInArrow(
+                run, "view int, part int, counts binary"
+            )
+        )
         for i, size in enumerate(sizes):
             flat = np.zeros(2 * (size + 1), np.int64)
             for row in parts:
