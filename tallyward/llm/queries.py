@@ -64,7 +64,7 @@ def op7_vectors(spark, sf_dir):
 # Four domains by the number of the source, a favoured language, and sources alike.
 MIXTURE = mixing.Mixture(
     domain=(
-        "coalesce('d' || CAST(CAST(nullif(regexp_extract(source, '([0-9]+)$', 1), '') AS INT) % 4 "
+        "coalesce('d' || CAST(try_cast(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) % 4 "
         "AS STRING), 'other')"
     ),
     weights={
@@ -108,13 +108,15 @@ def _shares(level: str, above: list[str], weight: str, budget: str) -> str:
     """SQL of one level of the mixture's tree: children and their parts of the parent's budget."""
     here = ", ".join([*above, level])
     part = f"PARTITION BY {', '.join(above)}" if above else ""
+    same = " AND ".join(f"c.{x} IS NOT DISTINCT FROM p.{x}" for x in above)
+    parent = f"JOIN {above[-1]}_3 p ON {same}" if above else ""
     order = f"{part} ORDER BY cap::DOUBLE / w NULLS FIRST, {level} NULLS FIRST"
     return f"""
         {level}_0 AS (
             SELECT {", ".join(f"c.{x}" for x in [*above, level])}, c.w, c.cap, {budget} AS budget
             FROM (SELECT {here}, {weight} AS w, sum(cap)::BIGINT AS cap, sum(tokens) AS tokens
                   FROM leaves GROUP BY ALL) c
-            {f"JOIN {above[-1]}_3 p ON " + " AND ".join(f"c.{x} IS NOT DISTINCT FROM p.{x}" for x in above) if above else ""}
+            {parent}
         ), {level}_1 AS (
             SELECT *, coalesce(sum(cap) OVER b, 0)::HUGEINT AS filled,
                    coalesce(sum(w) OVER b, 0)::HUGEINT AS passed,
@@ -144,8 +146,8 @@ LANG_WEIGHT = "CASE lang WHEN 'en' THEN 6 WHEN 'de' THEN 2 ELSE 1 END"
 MIXTURE_SQL = f"""
     WITH docs AS (
         SELECT doc_id, lang, source,
-               coalesce('d' || (nullif(regexp_extract(source, '([0-9]+)$', 1), '')::INT % 4), 'other')
-                   AS domain,
+               coalesce('d' || (TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) % 4),
+                        'other') AS domain,
                len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS tokens
         FROM documents
     ), leaves AS (
