@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-
 PIECE = 1 << 20
 BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -55,7 +54,9 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def pieces(offsets: np.ndarray, size: int, overlap: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def pieces(
+    offsets: np.ndarray, size: int, overlap: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Stretches of at most about ``size`` bytes: (rows, begin, end) of their texts.
 
     Whole texts are taken together while they fit. A longer text comes alone, in parts that share

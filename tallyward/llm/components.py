@@ -28,7 +28,8 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "components") ->
         turn += 1
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-        large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        large = both.join(low, "a").filter("b > a")
+        large = large.select(F.col("b").alias("a"), F.col("low").alias("b"))
         large = scratch.keep(large.filter("a <> b").distinct(), f"{name}-{turn}-large")
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a")

@@ -136,13 +136,15 @@ class Mixture:
             ),
         )
         own = own.select(*above, level, F.least("part", "cap").cast("bigint").alias("budget"))
-        none = children.filter("cap = 0").select(*above, level, F.lit(0).cast("bigint").alias("budget"))
+        none = children.filter("cap = 0").selectExpr(*above, level, "0L AS budget")
         return own.unionByName(none)
 
     def _order(self) -> Column:
         """Place of a document in the order of its leaf's last epoch."""
         digest = F.md5(
-            F.concat_ws("|", F.lit(str(self.seed)), F.col("whole").cast("string"), F.col("key").cast("string")).cast("binary")
+            F.concat_ws(
+                "|", F.lit(str(self.seed)), F.col("whole").cast("string"), F.col("key").cast("string")
+            ).cast("binary")
         )
         return F.conv(F.substring(digest, 1, DIGITS), 16, 10).cast("bigint")
 

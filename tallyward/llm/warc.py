@@ -26,6 +26,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
@@ -122,7 +123,8 @@ class ZipReader:
                 raise ValueError("damaged central directory")
             method, packed, size, n, m, k, header = (fields[i] for i in (4, 8, 9, 10, 11, 12, 16))
             name = central[p + 46 : p + 46 + n].decode()
-            packed, size, header = self._wide(central[p + 46 + n : p + 46 + n + m], packed, size, header)
+            extra = central[p + 46 + n : p + 46 + n + m]
+            packed, size, header = self._wide(extra, packed, size, header)
             yield name, (method, header, packed)
             p += 46 + n + m + k
 
@@ -176,7 +178,10 @@ class ZipReader:
 
 def record(page, url: str | None, payload: bytes, sha1: str, refers_to, revisit: bool) -> bytes:
     """One WARC record, as a gzip member."""
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
+    http = (
+        "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
+        f"Content-Length: {len(payload)}\r\n\r\n"
+    )
     block = http.encode() + (b"" if revisit else payload)
     digest = base64.b32encode(bytes.fromhex(sha1)).decode()
     lines = [
@@ -238,7 +243,8 @@ class WarcStore:
         revisit like others, and are responses where no equal payload has an id.
         """
         payload = F.coalesce("html", F.lit("")).cast("binary")
-        rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("sha1", F.sha1("payload"))
+        rows = pages.select("page_id", "url", payload.alias("payload"))
+        rows = rows.withColumn("sha1", F.sha1("payload"))
         long = F.octet_length("payload") >= self.least
         best = (
             rows.filter(long)
@@ -321,16 +327,13 @@ class WarcStore:
 
 
 def _rows(found: Iterator[dict], payloads: bool, rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    names = ["page", "url", "bytes", "sha1", "type", "refers_to", *["payload"] * payloads]
-    kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
-    held: list[dict] = []
-    for one in found:
-        held.append(one)
-        if len(held) == rows:
-            yield pa.RecordBatch.from_arrays([pa.array([h[n] for h in held], k) for n, k in zip(names, kinds)], names)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array([h[n] for h in held], k) for n, k in zip(names, kinds)], names)
+    kinds = dict.fromkeys(("page", "url", "bytes", "sha1", "type", "refers_to"), pa.string())
+    kinds["bytes"] = pa.int64()
+    if payloads:
+        kinds["payload"] = pa.binary()
+    while held := list(islice(found, rows)):
+        columns = [pa.array([one[name] for one in held], kind) for name, kind in kinds.items()]
+        yield pa.RecordBatch.from_arrays(columns, list(kinds))
 
 
 def round_trip(pages: DataFrame, store: WarcStore | None = None) -> DataFrame:
