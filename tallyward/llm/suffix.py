@@ -34,7 +34,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm.arrow import INVERSE, PIECE, mixed, pieces, powers, prefix_sums, text_bytes
+from tallyward.llm.arrow import (
+    INVERSE,
+    PIECE,
+    mixed,
+    pieces,
+    powers,
+    prefix_sums,
+    text_bytes,
+)
+from tallyward.llm.bitmap import key_test, maybe_wanted
 from tallyward.sources.scratch import Scratch
 
 CELL = 32
@@ -285,12 +294,17 @@ def repeated_windows(docs: DataFrame, family: SuffixFamily, scratch: Scratch) ->
     equal = (
         cand.filter("n = 1").join(whole, ["sym", "full"], "left_semi").select(*KEY, "lo", "hi")
     )
-    mixed = contexts.groupBy("sym").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    edges = (
+    # stored, so that the join below has a plain side that can be split where a sym is hot
+    mixed = scratch.keep(
+        contexts.groupBy("sym").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "mixed"
+    )
+    edges = scratch.keep(
         contexts.join(mixed, "sym", "left_semi")
         .groupBy("one.id", "one.thash")
-        .agg(F.collect_list(F.struct("sym", "one.p", "one.lo", "one.hi")).alias("edges"))
+        .agg(F.collect_list(F.struct("sym", "one.p", "one.lo", "one.hi")).alias("edges")),
+        "edges",
     )
+    held = maybe_wanted(docs.select(*KEY, "text"), "thash", edges.select("thash"))
     kind = docs.schema["id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,7 +322,7 @@ def repeated_windows(docs: DataFrame, family: SuffixFamily, scratch: Scratch) ->
                 )
 
     stretches = scratch.keep(
-        _same_text(docs.select(*KEY, "text"), edges, "inner").mapInArrow(
+        _same_text(held, edges, "inner").mapInArrow(
             cut,
             f"id {kind}, thash bigint, sym bigint, p bigint, lo bigint, hi bigint, context binary",
         ),
@@ -479,5 +493,14 @@ def without_repeats(
 
     schema = f"key {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
     schema += "spans array<array<bigint>>" + ", kept binary" * texts
-    joined = _same_text(rows, per_text, "left").select("id", "text", "runs")
+    # texts without a run need no shuffle
+    wanted = key_test(runs.select("thash").distinct(), "thash")
+    some, others = rows.filter(wanted("thash")), rows.filter(~wanted("thash"))
+    joined = (
+        _same_text(some, per_text, "left")
+        .select("id", "text", "runs")
+        .unionByName(
+            others.select("id", "text", F.lit(None).cast(per_text.schema["runs"].dataType).alias("runs"))
+        )
+    )
     return joined.mapInArrow(cut, schema).withColumnRenamed("key", key)
