@@ -6,15 +6,17 @@ size over the whole corpus, then by fingerprint. Sets that are similar enough sh
 first few of that order (the prefix), so only those are joined.
 
 1. Nodes with the same prefix and the same size form a group; a group enters the prefix join once.
-2. Groups that share a prefix shingle are paired, if their sizes and the places of the shingle leave
-   room for the overlap needed.
+2. Groups that share a prefix shingle are paired, if their sizes, the places of the shingle and a
+   parity bitmap of the sets leave room for the overlap needed.
 3. Surviving pairs are expanded to the members of the groups. Those that a parity bitmap of their
    sets does not rule out are verified on the whole sets.
 
 The result wanted is components, so pairs inside a component found already need no proof. Steps 2
-and 3 therefore run twice: first with one pivot for each shingle, group and size class, which is
-linear and joins up groups of near copies however large; then for all pairs whose ends are still in
-different components. No pair of different components is skipped, so components are exact.
+and 3 therefore run twice: first with one pivot for each shingle and size class and for each group,
+which is linear and joins up most near copies; then for all pairs whose ends are still in different
+components. No pair of different components is skipped, so components are exact. Copies that are
+near a text but not near enough to link are compared with one another, as any exact join must; such
+pairs end at the bitmap, inside the join.
 """
 
 from __future__ import annotations
@@ -38,6 +40,9 @@ from tallyward.sources.scratch import Scratch
 
 # The sketch counts fingerprints by their last bits, in stretches of this many counters.
 SKETCH_BITS, STRETCH = 18, 4096
+# Bits of the parity bitmap that travels with a posting, and how many shingles tell pairs met before.
+WORD_BITS, EARLIER = 512, 16
+WORDS = tuple(f"w{i}" for i in range(WORD_BITS // 64))
 
 
 def _joined(sets: Iterator[np.ndarray], items: int = 1 << 20) -> Iterator[np.ndarray]:
@@ -53,13 +58,13 @@ def _joined(sets: Iterator[np.ndarray], items: int = 1 << 20) -> Iterator[np.nda
         yield np.concatenate(held)
 
 
-def odd_bits(found: np.ndarray) -> bytes:
+def odd_bits(found: np.ndarray, size: int = 0) -> bytes:
     """A bit for each remainder of the fingerprints, set if an odd number of them has it.
 
-    There are as many bits as items, up to the next power of two, so half of a longer row folded on
-    the other half is the row of half the length.
+    There are ``size`` bits, or as many as items, up to the next power of two: half of a longer row
+    folded on the other half is the row of half the length.
     """
-    size = max(64, 1 << (len(found) - 1).bit_length())
+    size = size or max(64, 1 << (len(found) - 1).bit_length())
     places = (found >> np.uint64(20)) & np.uint64(size - 1)
     return np.packbits(np.bincount(places.astype(np.int64), minlength=size) & 1).tobytes()
 
@@ -120,13 +125,14 @@ class JaccardJoin:
         return total
 
     def prefixes(self, docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-        """(id, thash, n, node, grp, bits, prefix) of each document (id, thash, text).
+        """(id, thash, n, node, grp, bits, words, prefix) of each document (id, thash, text).
 
         ``node`` identifies the set, ``grp`` its prefix and size; both null for an empty set.
-        ``bits`` has a bit for each remainder of the fingerprints, set if an odd number have it. A
-        task lists the prefix of a group once, so copies add a row per task to the prefix join.
+        ``bits`` has a bit for each remainder of the fingerprints, set if an odd number have it;
+        ``words`` are the same for `WORD_BITS` bits, whatever the size of the set. A task lists the
+        prefix of a group once, so copies add a row per task to the prefix join.
         """
-        words, percent, low = self.words, self.percent, np.uint64((1 << SKETCH_BITS) - 1)
+        width, percent, low = self.words, self.percent, np.uint64((1 << SKETCH_BITS) - 1)
         kind = docs.schema["id"].dataType.simpleString()
         # ranks of counts, small enough for every task
         rank = docs.sparkSession.sparkContext.broadcast(
@@ -136,14 +142,15 @@ class JaccardJoin:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             listed: set[int] = set()
             for batch in batches:
-                n, node, grp, bits, prefix = [], [], [], [], []
-                for found in shingle_sets(batch.column(2), words):
+                n, node, grp, bits, words, prefix = [], [], [], [], [], []
+                for found in shingle_sets(batch.column(2), width):
                     size = len(found)
                     n.append(size)
                     if not size:
                         node.append(None)
                         grp.append(None)
                         bits.append(None)
+                        words.append(None)
                         prefix.append(None)
                         continue
                     order = np.argsort(rank.value[(found & low).astype(np.int64)], kind="stable")
@@ -153,6 +160,7 @@ class JaccardJoin:
                     name = xxhash.xxh3_64_intdigest(first.tobytes(), size) - (1 << 63)
                     grp.append(name)
                     bits.append(odd_bits(found))
+                    words.append(np.frombuffer(odd_bits(found, WORD_BITS), np.int64))
                     prefix.append(None if name in listed else first.view(np.int64))
                     listed.add(name)
                 yield pa.RecordBatch.from_arrays(
@@ -163,15 +171,16 @@ class JaccardJoin:
                         pa.array(node, pa.binary()),
                         pa.array(grp, pa.int64()),
                         pa.array(bits, pa.binary()),
+                        pa.array(words, pa.list_(pa.int64())),
                         pa.array(prefix, pa.list_(pa.int64())),
                     ],
-                    ["id", "thash", "n", "node", "grp", "bits", "prefix"],
+                    ["id", "thash", "n", "node", "grp", "bits", "words", "prefix"],
                 )
 
         return docs.select("id", "thash", "text").mapInArrow(
             run,
             f"id {kind}, thash bigint, n bigint, node binary, grp bigint, bits binary, "
-            "prefix array<bigint>",
+            "words array<bigint>, prefix array<bigint>",
         )
 
     def _fits(self, x: str, y: str):
@@ -182,6 +191,14 @@ class JaccardJoin:
         enough = (100 + self.percent) * shared >= self.percent * (n + m)
         return enough & (100 * F.least(n, m) >= self.percent * F.greatest(n, m))
 
+    def _near(self, x: str, y: str):
+        """Whether the bitmaps leave room for a link; true where a group has none."""
+        apart = sum(
+            (F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))) for w in WORDS), F.lit(0)
+        )
+        most = (100 - self.percent) * (F.col(f"{x}.n") + F.col(f"{y}.n"))
+        return F.coalesce((100 + self.percent) * apart <= most, F.lit(True))
+
     # ---- verification
 
     def possible(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -310,7 +327,11 @@ class JaccardJoin:
         nodes = scratch.keep(
             full.filter("node IS NOT NULL")
             .groupBy("node", "n", "grp")
-            .agg(F.min(F.struct("id", "thash")).alias("one"), F.first("bits").alias("bits")),
+            .agg(
+                F.min(F.struct("id", "thash")).alias("one"),
+                F.first("bits").alias("bits"),
+                F.first("words").alias("words"),
+            ),
             "nodes",
         )
         listed = scratch.keep(full.select("id", "thash", "n", "node"), "listed")
@@ -328,8 +349,11 @@ class JaccardJoin:
     ) -> DataFrame:
         """Links of nodes (a, b), enough of them to connect every component."""
         members = nodes.select("node", "grp", "n")
-        heads = members.groupBy("grp", "n").agg(
-            F.min("node").alias("head"), F.count("*").alias("members")
+        one = F.count("*") == 1  # groups of several sets have no bitmap of their own
+        heads = nodes.groupBy("grp", "n").agg(
+            F.min("node").alias("head"),
+            F.count("*").alias("members"),
+            *[F.when(one, F.first(F.col("words")[i])).alias(w) for i, w in enumerate(WORDS)],
         )
         heads = scratch.keep(heads, "heads")
         large = heads.filter("members > 1")
@@ -343,7 +367,8 @@ class JaccardJoin:
         step = math.log(100 / self.percent)
         size = F.floor(F.log(F.col("n").cast("double")) / step)
         posted = held.withColumn("size", size)
-        first = posted.groupBy("token", "size").agg(F.min(F.struct("grp", "n", "at")).alias("p"))
+        # the fewer rarer shingles a set has, the more central it is among its near copies
+        first = posted.groupBy("token", "size").agg(F.min(F.struct("at", "grp", "n")).alias("p"))
         pivots = (
             posted.alias("y")
             .join(first.select("token", "size", "p.grp", "p.n", "p.at").alias("x"), ["token", "size"])
@@ -384,14 +409,29 @@ class JaccardJoin:
             .filter("l <> h")
             .select("token")
         )
-        spread = scratch.keep(spread.join(mixed, "token", "left_semi"), "open-postings")
+        spread = scratch.keep(spread.join(mixed, "token", "left_semi"), "open-tokens")
+        some = F.slice(F.array_sort(F.collect_list(F.struct("at", "token"))), 1, EARLIER)
+        firsts = spread.groupBy("grp", "n").agg(some.alias("firsts"))
+        spread = scratch.keep(
+            spread.join(firsts, ["grp", "n"])
+            .join(heads.select("grp", "n", *WORDS), ["grp", "n"])
+            .withColumn(
+                "earlier", F.expr("transform(filter(firsts, t -> t.at < at), t -> t.token)")
+            )
+            .drop("firsts"),
+            "open-postings",
+        )
         x, y = spread.alias("x"), spread.alias("y")
         met = (F.col("x.token") == F.col("y.token")) & (F.col("x.grp") < F.col("y.grp"))
         apart = (F.col("x.low") != F.col("y.low")) | (F.col("x.high") != F.col("y.high")) | (
             F.col("x.low") != F.col("x.high")
         )
+        # a pair is taken at the first shingle that it shares, as far as the rows know it
+        new = ~F.arrays_overlap("x.earlier", "y.earlier")
         across = (
-            x.join(y, met & apart & self._fits("x", "y")).select(*ends).distinct()
+            x.join(y, met & apart & self._fits("x", "y") & self._near("x", "y") & new)
+            .select(*ends)
+            .distinct()
         )
         inside = span.filter("low <> high").selectExpr("grp AS g", "n AS m", "grp AS h", "n AS k")
         left = of_node.selectExpr("grp AS g", "n AS m", "node AS a", "component AS ca")
