@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 
 NONE = 1 << 60
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 # Fixed value: the white space class of the vocabulary's patterns.
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
