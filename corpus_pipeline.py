@@ -13,6 +13,9 @@ from tallyward.llm import bpe, exact, jaccard, quality
 from tallyward.llm.queries import MIXTURE, WORD_BPE
 from tallyward.sources.scratch import Scratch
 
+# Near copies share at least 0.8 of their five-word shingles; op2's own contract is another.
+NEAR_COPIES = jaccard.JaccardJoin(words=5, percent=80)
+
 # The classifier's fit and the encoding have no SQL; tests/llm/test_pipeline.py has a plain version.
 ORACLE_SQL = None
 
@@ -27,7 +30,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.one_of_each(docs)
+    return jaccard.one_of_each(docs, NEAR_COPIES)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
