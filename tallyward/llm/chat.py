@@ -70,21 +70,19 @@ def parse(formatted: str) -> list[Turn]:
 def loss_mask(spans: Sequence[Span], offsets: Sequence[Span]) -> tuple[list[int], list[Span]]:
     """(1 for each token that carries loss, else 0; the characters under the mask as spans).
 
-    ``spans`` are the sorted turns that carry loss, ``offsets`` the sorted spans of the tokens.
+    ``spans`` are the sorted turns that carry loss, ``offsets`` the sorted spans of the tokens. A
+    character that no token has is in no span.
     """
     starts, ends = [a for a, _ in offsets], [b for _, b in offsets]
     mask, chars = [0] * len(offsets), []
     for a, b in spans:
         at = a
         for i in range(bisect_right(ends, a), bisect_left(starts, b)):
-            y = min(ends[i], b)
+            x, y = max(starts[i], at), min(ends[i], b)
             mask[i] = 1
-            if at < y:
-                # white space that the vocabulary trims from its offsets goes with the token after it
-                chars.append((at, y))
+            if x < y:
+                chars.append((x, y))
                 at = y
-        if at < b and a < b:
-            chars.append((at, b))  # and with the token before it at the end of a turn
     return mask, chars
 
 

@@ -56,6 +56,13 @@ def test_mask_is_the_intersection_of_spans():
     assert chars == [(2, 3), (3, 4), (4, 5), (8, 10)]
 
 
+def test_characters_without_a_token_carry_no_loss():
+    assert chat.loss_mask([(2, 9)], []) == ([], [])
+    mask, chars = chat.loss_mask([(2, 9), (12, 15)], [(0, 1), (3, 5), (6, 8), (10, 11), (13, 14)])
+    assert mask == [0, 1, 1, 0, 1]
+    assert chars == [(3, 5), (6, 8), (13, 14)]
+
+
 def test_tokens_cover_the_text():
     encoded = chat.load(BYTE_BPE).encode("<s>a[INST]  漢 字\n\n🙂 x [/INST]", add_special_tokens=False)
     covered = {i for a, b in encoded.offsets for i in range(a, b)}
