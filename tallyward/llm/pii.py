@@ -65,15 +65,18 @@ def automaton() -> ahocorasick.Automaton:
     for sign in "@+0123456789":
         found.add_word(sign, (sign if sign in "@+" else "0", 1))
     for word in SCHEMES:
-        for form in {word, word.upper(), word.capitalize()}:
-            found.add_word(form, ("url", len(word)))
+        found.add_word(word, ("url", len(word)))
     for word in CUES:
-        for form in {word, word.upper(), word.capitalize()}:
-            found.add_word(form, ("account", len(word)))
+        found.add_word(word, ("account", len(word)))
     found.make_automaton()
     return found
 
 
+def lowered(text: str) -> str:
+    """The text with ASCII capitals small; every code point stays at its place."""
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+
+
 def find(text: str) -> list[Span]:
     """Spans (start, end, kind) in code points, end exclusive, by start and then kind as listed."""
     if not text:
@@ -81,7 +84,7 @@ def find(text: str) -> list[Span]:
     spans: list[Span] = []
     ends = dict.fromkeys(KINDS, 0)  # where the search of each kind goes on
     digits_seen = 0  # end of the digit run of the last digit anchor
-    for last, (kind, length) in automaton().iter(text):
+    for last, (kind, length) in automaton().iter(lowered(text)):
         start = last - length + 1
         if kind == "0":
             if start < digits_seen:

@@ -55,6 +55,18 @@ def test_added_kinds():
     assert pii.redact("mail a@b.co now", pii.find("mail a@b.co now")) == "mail [EMAIL] now"
 
 
+def test_cues_and_schemes_in_any_case():
+    cues = ["Tax ID: ", "User ID ", "Customer Id ", "IBan ", "Ssn ", "ssn ", "TAX ID ", "aCCt "]
+    for before in ("", "İ🙂É "):
+        for cue in cues:
+            at = len(before + cue)
+            assert pii.find(f"{before}{cue}912345678.") == [(at, at + 9, "account")]
+        at = len(before)
+        assert pii.find(f"{before}HttpS://A.example/X") == [(at, at + 19, "url")]
+    assert pii.find("İtax ID 912345678") == []  # inside a word
+    assert pii.lowered("AÉİ\u212a\ud800Z") == "aÉİ\u212a\ud800z"
+
+
 def test_rows(spark):
     rows = [(1, "a@b.co 1.2.3.4", 9), (1, None, 9), (None, "", 9), (2, "+12345678901 " * 5000, 9)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, spans int")
