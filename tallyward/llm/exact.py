@@ -53,12 +53,13 @@ class RadixDedup:
         rows = docs.select(
             F.col(self.key).alias("id"),
             F.lit(None).cast(docs.schema[self.key].dataType).alias("grp"),
+            F.lit(0).cast("bigint").alias("salt"),
             F.lit(0).alias("nth"),
             normal_text(F.col(self.text)).cast("binary").alias("rest"),
         )
         while True:
             table = scratch.keep(self._split(rows, width, level == 0), f"level={level}")
-            ended = table.filter("rest IS NULL").drop("rest", "grp", "nth")
+            ended = table.filter("rest IS NULL").drop("rest", "grp", "salt", "nth")
             done = ended if done is None else done.unionByName(ended)
             rows = table.filter("rest IS NOT NULL").drop("keep_id", "group_size")
             if rows.isEmpty():
@@ -78,21 +79,25 @@ class RadixDedup:
         """One level: group rows by their next block; ``rest`` is null where a row is finished.
 
         A group that goes on is known by its smallest key and, for keys that are null or repeated
-        with different texts, by its place among the groups of that key. Both are functions of the
-        data, so a task that runs again gives the same numbers.
+        with different texts, by a hash of what the group shares and its place among the groups of
+        that key and hash. A key with many groups is so numbered in many tasks. All are functions of
+        the data, so a task that runs again gives the same numbers.
         """
         rows = rows.withColumn("block", F.substring("rest", 1, width))
-        same = rows.groupBy("grp", "nth", "block").agg(
+        same = rows.groupBy("grp", "salt", "nth", "block").agg(
             F.count("*").alias("group_size"), F.min("id").alias("keep_id")
         )
-        same = same.filter("group_size > 1").select(
+        same = same.filter("group_size > 1").withColumn("own", F.xxhash64("grp", "salt", "nth", "block"))
+        same = same.select(
             F.col("grp").alias("g"),
+            F.col("salt").alias("s"),
             F.col("nth").alias("n"),
             F.col("block").alias("b"),
             "group_size",
             "keep_id",
+            "own",
             F.row_number()
-            .over(W.partitionBy("keep_id").orderBy("grp", "nth", "block"))
+            .over(W.partitionBy("keep_id", "own").orderBy("grp", "salt", "nth", "block"))
             .alias("place"),
         )
         goes_on = F.col("b").isNotNull() & (F.octet_length("block") == width)
@@ -100,6 +105,7 @@ class RadixDedup:
         return rows.join(
             same,
             F.col("grp").eqNullSafe(F.col("g"))
+            & (F.col("salt") == F.col("s"))
             & (F.col("nth") == F.col("n"))
             & (F.col("block") == F.col("b")),
             "left",
@@ -109,6 +115,7 @@ class RadixDedup:
             F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"),
             sha.alias("text_sha256"),
             F.col("keep_id").alias("grp"),
+            F.col("own").alias("salt"),
             F.col("place").alias("nth"),
             F.when(goes_on, F.expr(f"substring(rest, {width + 1})")).alias("rest"),
         )

@@ -459,18 +459,19 @@ def one_of_each(docs: DataFrame, join: JaccardJoin | None = None) -> DataFrame:
     found = join.labelled(docs)
     order = F.struct(F.col("id").isNull().alias("none"), "id", "thash")
     first = found.filter("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("one"))
-    kept = first.select("one.id", "one.thash", F.lit(False).alias("_empty")).unionByName(
-        found.filter("component IS NULL").select("id", "thash", F.lit(True).alias("_empty")).distinct()
-    )
+    kept = first.select(F.col("one.id").alias("_id"), F.col("one.thash").alias("_thash"))
+    worded = F.coalesce(join.text, F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     rest = [F.col(c) for c in docs.columns if c not in (join.key, join.text)]
     alike = W.partitionBy(join.key, "_hash").orderBy(*rest, join.text)
-    return (
-        docs.withColumn("_hash", F.xxhash64(join.text))
+    one = (
+        docs.filter(worded)
+        .withColumn("_hash", F.xxhash64(join.text))
         .join(
-            kept.withColumnsRenamed({"id": "_id", "thash": "_thash"}),
+            kept,
             F.col(join.key).eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_thash")),
         )
         .withColumn("_nth", F.row_number().over(alike))
-        .filter("_nth = 1 OR _empty")
+        .filter("_nth = 1")
         .select(*docs.columns)
     )
+    return one.unionByName(docs.filter(~worded))

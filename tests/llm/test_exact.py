@@ -53,3 +53,15 @@ def test_repeated_and_null_keys(spark):
     assert RadixDedup().groups(df.limit(0)).count() == 0
     kept = [(r.doc_id, r.text) for r in first_of_each(df).collect()]
     assert Counter(kept) == Counter([(1, long), (1, long + "a"), (None, long + "b"), (None, "z")])
+
+
+def test_groups_of_one_key_are_numbered_apart(spark):
+    rows = [(None, f"{i:03d}" + "x" * 300 + end) for i in range(100) for end in "ab"]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    first = df.selectExpr(
+        "doc_id AS id", "CAST(NULL AS bigint) AS grp", "0L AS salt", "0 AS nth", "CAST(text AS binary) AS rest"
+    )
+    split = RadixDedup()._split(first, 256, True)
+    assert split.select("grp", "salt", "nth").distinct().count() == 100
+    assert split.groupBy("grp", "salt").agg({"nth": "max"}).filter("`max(nth)` = 1").count() == 100
+    assert result(RadixDedup().groups(df)) == brute(rows)

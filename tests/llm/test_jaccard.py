@@ -146,3 +146,11 @@ def test_bitmap_loses_no_wanted_row(spark):
     found = {r.id for r in maybe_wanted(rows, "key", wanted).collect()}
     assert found >= set(range(0, 20000, 97)) and len(found) < 300
     assert maybe_wanted(rows, "key", wanted.limit(0)).count() == 0
+
+
+def test_repeated_rows_of_one_key_are_limited_early(spark):
+    rows = [(1, "a b c d e")] * 50 + [(None, "f g h i j")] * 50 + [(2, " \n"), (2, " \n"), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = one_of_each(df)
+    assert "WindowGroupLimit" in kept._jdf.queryExecution().optimizedPlan().toString()
+    assert Counter(map(tuple, kept.collect())) == Counter([(1, "a b c d e"), (None, "f g h i j"), *rows[-3:]])
