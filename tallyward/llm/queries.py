@@ -8,7 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, chat, exact, jaccard, mixing, pii, quality, suffix, vectors, warc
+from tallyward.llm import (
+    bpe,
+    centroids,
+    chat,
+    exact,
+    jaccard,
+    mixing,
+    pii,
+    quality,
+    suffix,
+    vectors,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +100,10 @@ def op10_exact_dedup(spark, sf_dir):
     return exact.RadixDedup().groups(table(spark, sf_dir, "documents"))
 
 
+def op13_centroids(spark, sf_dir):
+    return centroids.CentroidClusters().classes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -101,6 +117,7 @@ QUERIES: dict[str, Query] = {
         op8_mixing,
         op9_bpe,
         op10_exact_dedup,
+        op13_centroids,
     )
 }
 
@@ -181,7 +198,59 @@ MIXTURE_SQL = f"""
     SELECT doc_id, domain, lang, source, unnest(range(n)) AS epoch, tokens AS n_tokens FROM times
 """
 
+def _nearest(n: int) -> str:
+    """SQL of the assignment of all vectors to the centroids of round n."""
+    return f"""
+        near{n} AS MATERIALIZED (
+            SELECT row, vec_id, v, arg_min(c, (distance, c)) AS c, min(distance) AS distance
+            FROM (
+                SELECT row, vec_id, v, c, list_sum(list_transform(
+                           list_zip(v, centre), lambda p: (p[1] - p[2]) * (p[1] - p[2])
+                       ))::BIGINT AS distance
+                FROM rows, centres{n}
+            )
+            GROUP BY row, vec_id, v
+        )"""
+
+
+def _moved(n: int) -> str:
+    """SQL of the centroids of round n, from the assignment of the round before."""
+    return f"""
+        centres{n} AS MATERIALIZED (
+            SELECT o.c, coalesce(m.centre, o.centre) AS centre
+            FROM centres{n - 1} o LEFT JOIN (
+                SELECT c, list(floor_mean ORDER BY place) AS centre
+                FROM (
+                    SELECT c, place,
+                           CASE WHEN sum(x) % count(*) < 0 THEN sum(x) // count(*) - 1
+                                ELSE sum(x) // count(*) END::BIGINT AS floor_mean
+                    FROM (SELECT c, unnest(v) AS x, unnest(range(len(v))) AS place FROM near{n - 1})
+                    GROUP BY c, place
+                ) GROUP BY c
+            ) m ON o.c = m.c
+        )"""
+
+
+CENTROIDS_SQL = f"""
+    WITH rows AS MATERIALIZED (
+        SELECT row_number() OVER () AS row, vec_id,
+               list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings
+        WHERE len(embedding) = 64
+          AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+    ), centres0 AS MATERIALIZED (
+        SELECT (row_number() OVER (ORDER BY h) - 1)::INTEGER AS c, v AS centre
+        FROM (SELECT v, sha256('3:' || vec_id) AS h FROM rows ORDER BY h LIMIT 8)
+    ), {_nearest(0)}, {", ".join(f"{_moved(n)}, {_nearest(n)}" for n in range(1, 11))}
+    SELECT vec_id, n.c AS cluster, distance,
+           sum(distance) OVER (PARTITION BY n.c)::BIGINT AS cluster_inertia,
+           sum(distance) OVER ()::BIGINT AS inertia,
+           sha256(array_to_string(centre, ',')) AS centroid_sha256
+    FROM near10 n JOIN centres10 c ON n.c = c.c
+"""
+
 SQL: dict[str, str] = {
+    "op13_centroids": CENTROIDS_SQL,
     "op10_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
