@@ -15,6 +15,7 @@ from tallyward.llm import (
     exact,
     jaccard,
     mixing,
+    phrases,
     pii,
     quality,
     suffix,
@@ -100,6 +101,12 @@ def op10_exact_dedup(spark, sf_dir):
     return exact.RadixDedup().groups(table(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark, sf_dir):
+    return phrases.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op13_centroids(spark, sf_dir):
     return centroids.CentroidClusters().classes(table(spark, sf_dir, "embeddings"))
 
@@ -117,6 +124,7 @@ QUERIES: dict[str, Query] = {
         op8_mixing,
         op9_bpe,
         op10_exact_dedup,
+        op11_decontamination,
         op13_centroids,
     )
 }
@@ -249,7 +257,44 @@ CENTROIDS_SQL = f"""
     FROM near10 n JOIN centres10 c ON n.c = c.c
 """
 
+LOWER_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+DECONTAMINATION_SQL = f"""
+    WITH d AS (
+        SELECT row_number() OVER () AS row, doc_id, {LOWER_WORDS} AS w FROM documents
+    ), b AS (
+        SELECT item_id, w, least(len(w), 10) AS n
+        FROM (SELECT item_id, {LOWER_WORDS} AS w FROM benchmark)
+    ), windows AS (
+        SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win
+        FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM b WHERE n > 0)
+    ), places AS (
+        SELECT row, w, unnest(range(1, len(w) + 1)) AS i FROM d
+    ), found AS (
+        SELECT row, i, p.n, item_id
+        FROM (SELECT row, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+              FROM places, (SELECT DISTINCT n FROM windows) WHERE i + n - 1 <= len(w)) p
+        JOIN windows USING (n, win)
+    ), hit AS (
+        SELECT row, count(DISTINCT place) AS n_hit
+        FROM (SELECT row, unnest(range(i, i + n)) AS place
+              FROM (SELECT DISTINCT row, i, n FROM found))
+        GROUP BY row
+    ), items AS (
+        SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+        FROM (SELECT DISTINCT row, item_id::VARCHAR AS item FROM found) GROUP BY row
+    )
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+           coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit USING (row) LEFT JOIN items USING (row)
+"""
+
 SQL: dict[str, str] = {
+    "op11_decontamination": DECONTAMINATION_SQL,
     "op13_centroids": CENTROIDS_SQL,
     "op10_exact_dedup": r"""
         WITH d AS (
