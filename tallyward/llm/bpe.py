@@ -22,6 +22,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from tallyward.llm.vocabularies import vocabulary_file
+
 NONE = 1 << 60
 CACHED_WORDS = 150_000
 # Fixed value: the white space class of the vocabulary's patterns.
@@ -75,7 +77,7 @@ class Bpe:
     """Encoder and decoder of a vocabulary file with byte-level symbols and a word-end suffix."""
 
     def __init__(self, file: str):
-        with open(file, encoding="utf-8") as f:
+        with open(vocabulary_file(file), encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.llm.vocabularies import vocabulary_file
+
 # The control strings of the template and the escape of the sign they start with.
 OPEN, CLOSE, END, ESCAPE = "[INST]", "[/INST]", "</s>", "\\"
 HEAD = "<s>"
@@ -91,7 +93,7 @@ def load(file: str):
     """The tokenizer of a file, one per Python worker; its special strings are ordinary text."""
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(file)
+    found = Tokenizer.from_file(vocabulary_file(file))
     found.encode_special_tokens = True
     return found
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.llm import (
+    alignment,
     bpe,
     centroids,
     chat,
@@ -25,10 +25,10 @@ from tallyward.llm import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Where the public vocabulary files are.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
-BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
-WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
+# Names of public vocabulary files, looked up where they are read.
+BYTE_BPE = "byte_bpe_50k.json"
+WORD_BPE = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,6 +107,10 @@ def op11_decontamination(spark, sf_dir):
     )
 
 
+def op12_alignment(spark, sf_dir):
+    return alignment.Alignment(BYTE_BPE, PIECES).aligned(table(spark, sf_dir, "documents"))
+
+
 def op13_centroids(spark, sf_dir):
     return centroids.CentroidClusters().classes(table(spark, sf_dir, "embeddings"))
 
@@ -125,6 +129,7 @@ QUERIES: dict[str, Query] = {
         op9_bpe,
         op10_exact_dedup,
         op11_decontamination,
+        op12_alignment,
         op13_centroids,
     )
 }

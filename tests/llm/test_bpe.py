@@ -7,6 +7,7 @@ import pytest
 
 from tallyward.llm import bpe
 from tallyward.llm.queries import WORD_BPE
+from tallyward.llm.vocabularies import vocabulary_file
 
 tokenizers = pytest.importorskip("tokenizers")
 
@@ -15,7 +16,7 @@ ODD = "aAbé ΣσςİßŁ'st'reＡ１²Ⅳ\x1c\x1d\x85\xa0​　\n\t 漢🙂é
 
 @pytest.fixture(scope="module")
 def library():
-    return tokenizers.Tokenizer.from_file(WORD_BPE)
+    return tokenizers.Tokenizer.from_file(vocabulary_file(WORD_BPE))
 
 
 def texts(n):

@@ -8,6 +8,7 @@ import pytest
 import corpus_pipeline
 from tallyward.llm.quality import CoTraining
 from tallyward.llm.queries import MIXTURE, WORD_BPE
+from tallyward.llm.vocabularies import vocabulary_file
 from tests.llm import test_exact, test_jaccard, test_mixing
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -26,7 +27,7 @@ def test_equals_brute_force(spark, sf_dir):
     kept = [r for r in kept if r[0] in least]
     number = lambda s: "".join(c for c in s if c.isdigit())
     times = test_mixing.brute(kept, MIXTURE, lambda s: f"d{int(number(s)) % 4}")
-    library, texts = tokenizers.Tokenizer.from_file(WORD_BPE), {r[0]: r[1] for r in kept}
+    library, texts = tokenizers.Tokenizer.from_file(vocabulary_file(WORD_BPE)), {r[0]: r[1] for r in kept}
     want = Counter()
     for (key, *_), n in times.items():
         ids = library.encode(texts[key], add_special_tokens=False).ids
