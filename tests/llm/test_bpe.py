@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from tallyward.llm import bpe
@@ -51,6 +52,56 @@ def test_tree_gives_the_leftmost_lowest_pair():
         tree.put(i, ranks[i])
 
 
+def test_many_trees_give_the_leftmost_lowest_pair():
+    rng = np.random.default_rng(6)
+    ranks = rng.choice([1, 2, 3, bpe.NO_RANK], (9, 16)).astype(np.int32)
+    trees = bpe.PairTrees(ranks)
+    for _ in range(100):
+        rows = np.unique(rng.integers(0, 9, 5))
+        best, at = trees.lowest(rows)
+        assert best.tolist() == ranks[rows].min(axis=1).tolist()
+        assert at.tolist() == ranks[rows].argmin(axis=1).tolist()
+        first, second = rng.integers(0, 8, len(rows)), rng.integers(8, 16, len(rows))
+        both, place = np.tile(rows, 2), np.concatenate([first, second])
+        ranks[both, place] = rng.choice([1, 2, 4, bpe.NO_RANK], len(both))
+        trees.put(both, place, ranks[both, place])
+
+
+def test_words_of_all_lengths_equal_one_tree_each():
+    rng = random.Random(7)
+    encoder = bpe.load(WORD_BPE)
+    words = ["".join(rng.choice("aetnhiors") for _ in range(n)) for n in [*range(1, 140)] * 3]
+    words += ["é" * n for n in range(1, 60)]
+    for word, ids in zip(words, encoder.word_ids(words)):
+        raw = word.encode()
+        assert ids == encoder.long_word([*encoder.inner[list(raw[:-1])].tolist(), int(encoder.last[raw[-1]])])
+    assert encoder.word_ids([]) == []
+
+
+def test_more_words_than_the_cache_holds(library, monkeypatch):
+    monkeypatch.setattr(bpe, "GENERATION", 20)
+    encoder = bpe.Bpe(WORD_BPE)
+    rng = random.Random(8)
+    for _ in range(60):
+        text = " ".join("".join(rng.choice("abcdé") for _ in range(rng.randint(1, 4))) for _ in range(30))
+        assert encoder.encode(text) == library.encode(text, add_special_tokens=False).ids
+        assert len(encoder.young) <= 20 and len(encoder.old) <= 60
+
+
+def test_long_texts_come_in_parts(spark, library, monkeypatch):
+    monkeypatch.setattr(bpe, "SLICE", 40)
+    rows = [(1, "word " * 100 + "<|endoftext|> \n\n x" * 9), (2, "a" * 100), (3, " " * 90), (4, "b " * 19)]
+    for r in bpe.digests(spark.createDataFrame(rows, "doc_id bigint, text string"), WORD_BPE).collect():
+        ids = library.encode(rows[r.doc_id - 1][1], add_special_tokens=False).ids
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+
+
+def test_word_of_very_many_letters(library):
+    text = "".join(random.Random(9).choice("thea") for _ in range(100_000))
+    assert bpe.load(WORD_BPE).encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
 def test_rows(spark, library):
     rows = [(i, t, "x") for i, t in enumerate(texts(50))] + [(None, None, "x"), (3, "again", None)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, ids string")
