@@ -14,7 +14,8 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "components") ->
     Large-star and small-star rounds: every node links its larger neighbours, then its smaller ones,
     to the smallest node it knows. The edges end as stars around the smallest ids, after a number of
     rounds logarithmic in the size of a component. A hub costs no more than its edges: minima are
-    combined before the shuffle and the joins are split where a node is hot. Each round is a stored
+    combined before the shuffle, and they are stored before they are joined, so both sides of a join
+    are plain shuffles, which adaptive execution splits where a node is hot. Each round is a stored
     table; only two counts reach the driver.
     """
     now = scratch.keep(
@@ -28,10 +29,13 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "components") ->
         turn += 1
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
+        low = scratch.keep(low, f"{name}-{turn}-low")
         large = both.join(low, "a").filter("b > a")
         large = large.select(F.col("b").alias("a"), F.col("low").alias("b"))
         large = scratch.keep(large.filter("a <> b").distinct(), f"{name}-{turn}-large")
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
+        low = scratch.keep(
+            large.groupBy("a").agg(F.min("b").alias("low")), f"{name}-{turn}-lower"
+        )
         small = large.join(low, "a")
         small = (
             small.select("a", F.col("low").alias("b"))

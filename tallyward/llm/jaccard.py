@@ -293,10 +293,12 @@ class JaccardJoin:
         a component has no other. Other columns are not read.
         """
         labelled = self.labelled(docs)
-        least = (
+        # stored, so that the join can be split where a component is hot
+        least = Scratch.create(docs.sparkSession).keep(
             labelled.filter("component IS NOT NULL")
             .groupBy("component")
-            .agg(F.min("id").alias("component_id"))
+            .agg(F.min("id").alias("component_id")),
+            "least",
         )
         own = F.col("component").isNull()
         return labelled.join(least, "component", "left").select(

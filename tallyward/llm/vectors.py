@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -103,11 +104,16 @@ class NearVectors:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                keep = []
-                for a, b in zip(batch.column(2), batch.column(3)):
-                    u, v = (np.frombuffer(s.as_buffer(), np.float64) for s in (a, b))
-                    keep.append(u @ v / np.sqrt((u @ u) * (v @ v)) >= least)
-                yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+                size = pc.binary_length(batch.column(2)).to_numpy()
+                for width in np.unique(size):
+                    part = batch.filter(pa.array(size == width))
+                    u, v = (
+                        np.frombuffer(b"".join(part.column(c).to_pylist())).reshape(part.num_rows, -1)
+                        for c in (2, 3)
+                    )
+                    dot, uu, vv = (np.einsum("ij,ij->i", x, y) for x, y in ((u, v), (u, u), (v, v)))
+                    keep = dot / np.sqrt(uu * vv) >= least
+                    yield part.select([0, 1]).filter(pa.array(keep))
 
         left = nodes.select(F.col("node").alias("a"), F.col("vector").alias("u"))
         right = nodes.select(F.col("node").alias("b"), F.col("vector").alias("v"))
@@ -154,7 +160,10 @@ class NearVectors:
             "least",
         )
         known = scratch.keep(known, "known")
-        least = known.groupBy("component").agg(F.min("least").alias("component_id"))
+        # stored, so that the join can be split where a component is hot
+        least = scratch.keep(
+            known.groupBy("component").agg(F.min("least").alias("component_id")), "least"
+        )
         known = known.join(least, "component").select("node", "n_links", "component_id")
         own = F.col("node").isNull()
         return scratch.finish(

@@ -246,12 +246,14 @@ class WarcStore:
         rows = pages.select("page_id", "url", payload.alias("payload"))
         rows = rows.withColumn("sha1", F.sha1("payload"))
         long = F.octet_length("payload") >= self.least
-        best = (
+        # stored, so that the join can be split where very many pages have one body
+        best = Scratch.create(pages.sparkSession).keep(
             rows.filter(long)
             .groupBy("sha1")
             .agg(F.max("page_id").alias("best"), F.count("*").alias("n"))
             .filter("n > 1 AND best IS NOT NULL")
-            .select(F.col("sha1").alias("sha1_"), "best")
+            .select(F.col("sha1").alias("sha1_"), "best"),
+            "best",
         )
         return rows.join(best, long & (F.col("sha1") == F.col("sha1_")), "left").select(
             "page_id",

@@ -70,3 +70,21 @@ def test_odd_vectors(spark):
     small = [(k, [x / max(map(abs, v)) for x in v] if k in (13, 14) else v, x) for k, v, x in rows]
     assert got == brute(small)
     assert NearVectors().classes(df.limit(0)).count() == 0
+
+
+def test_recall_of_planted_pairs(spark):
+    """Pairs of 64 dimensions at cosines just above the threshold; at least 0.99 must be found."""
+    rng = np.random.default_rng(11)
+    rows, n = [], 400
+    for i in range(n):
+        u = rng.standard_normal(64)
+        w = rng.standard_normal(64)
+        w -= u * (u @ w) / (u @ u)
+        u, w = u / np.linalg.norm(u), w / np.linalg.norm(w)
+        cosine = rng.uniform(0.9801, 0.984)
+        v = cosine * u + np.sqrt(1 - cosine**2) * w
+        rows += [(2 * i, u.tolist(), 1), (2 * i + 1, (v * 3).tolist(), 1)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = NearVectors().classes(df).collect()
+    found = sum(r.n_links for r in got) / 2
+    assert 0.99 * n <= found <= n
