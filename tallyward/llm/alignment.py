@@ -10,6 +10,9 @@ the two pointers of all lanes. A step compares the ends under the pointers of ev
 emits a link and a cut where they are equal, moves on whichever end is not beyond the other, and
 drops the lanes that are done.
 
+**Encoding.** Neither vocabulary's tokens reach over a single space between letters. A worker keeps
+the ids of the stretches between such spaces that it has met, in a cache of bounded size.
+
 **Counts.** How often a pair of ids is linked in all documents needs one pass over all of them. The
 first pass stores each document's figures and its distinct pairs; the pairs are counted with map-side
 combining, and a second pass over the stored pairs adds up the counts of each document. The counts
@@ -24,23 +27,30 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.llm.bpe import byte_symbols
+from tallyward.llm.generations import Generations
 from tallyward.llm.vocabularies import vocabulary_file
 from tallyward.sources.scratch import Scratch
 
 LANE = 512  # bytes
 UNIT = 1 << 20  # bytes of text that are merged at once
-PART = 1 << 16  # letters of a text that are encoded at once
+PART = 1 << 16  # letters that are encoded at once
 BROADCAST_PAIRS = 1 << 20  # some 40 MB as a hash table
-# Both vocabularies start a new word here, whatever surrounds it: no token reaches across.
-BORDER = re.compile(r"(?<=[0-9A-Za-z]) (?=[0-9A-Za-z])")
+STRETCHES = 100_000  # in a generation of the cache
+CACHED_LETTERS = 64
+# A single space between letters of any kind. Both vocabularies start a new word at it, whatever
+# surrounds it: no token reaches across, so the stretches on both sides are encoded by themselves.
+BORDER = re.compile(r" (?=\S)(?<=\S )")
 
 
 @dataclass
@@ -57,6 +67,14 @@ class Vocabulary:
         return b"".join(map(self.tokens.__getitem__, ids)) == text
 
 
+class Encoded(NamedTuple):
+    """Ids of a stretch or part as packed 32-bit numbers, and whether their bytes are its own."""
+
+    a: bytes
+    b: bytes
+    spelled: bool
+
+
 class Encoders:
     """A byte-level vocabulary (A) and a piece vocabulary that puts a space in front (B)."""
 
@@ -84,10 +102,66 @@ class Encoders:
             ]
         )
 
-    def encode(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids by A of a space and the part, and by B of the part."""
-        found = self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)
-        return [f.ids for f in found], self.b.encode(parts, num_threads=1)
+        self.cache: Generations[Encoded] = Generations(STRETCHES, CACHED_LETTERS)
+
+    def spelled(self, a: list[int], b: list[int], text: bytes) -> bool:
+        return self.a_tokens.spells(a, text) and self.b_tokens.spells(b, text)
+
+    def encode(self, text: str) -> tuple[list[int], list[int]]:
+        """Ids by A of a space and the text, and by B of the text."""
+        found = self.a.encode_batch_fast([" " + text], add_special_tokens=False)
+        return found[0].ids, self.b.encode(text)
+
+    def alone(self, stretch: str) -> Encoded:
+        a, b = self.encode(stretch)
+        spelled = self.spelled(a, b, b" " + stretch.encode())
+        return Encoded(np.array(a, np.int32).tobytes(), np.array(b, np.int32).tobytes(), spelled)
+
+    def learn(self, stretches: list[str]) -> dict[str, Encoded]:
+        """Ids of new stretches; those with a letter at either end are encoded as one text."""
+        found, held, size = {}, [], 0
+        for stretch in stretches:
+            if not stretch or stretch[0].isspace() or stretch[-1].isspace():
+                found[stretch] = self.alone(stretch)
+                continue
+            held.append(stretch)
+            size += len(stretch)
+            if size > PART:
+                found.update(self._together(held))
+                held, size = [], 0
+        return found | (self._together(held) if held else {})
+
+    def _together(self, stretches: list[str]) -> dict[str, Encoded]:
+        text = " ".join(stretches)
+        a, b = self.encode(text)
+        if not self.spelled(a, b, b" " + text.encode()):
+            return {s: self.alone(s) for s in stretches}
+        end = np.cumsum([len(s.encode()) + 1 for s in stretches])
+        cuts = []
+        for ids, known in ((a, self.a_tokens), (b, self.b_tokens)):
+            packed = np.array(ids, np.int32)
+            upto = 4 * (np.searchsorted(np.cumsum(known.lengths[packed]), end) + 1)
+            packed, begin = packed.tobytes(), 0
+            cut = []
+            for stop in upto.tolist():
+                cut.append(packed[begin:stop])
+                begin = stop
+            cuts.append(cut)
+        return {s: Encoded(x, y, True) for s, x, y in zip(stretches, *cuts)}
+
+    def parts(self, texts: list[str]) -> list[Encoded]:
+        """Each text's packed ids, and whether both give back a space and the text."""
+        split = [BORDER.split(t) for t in texts]
+        known = self.cache.having(chain.from_iterable(split), self.learn)
+        found = []
+        for text, stretches in zip(texts, split):
+            each = list(map(known.__getitem__, stretches))
+            a, b = (b"".join([e[k] for e in each]) for k in (0, 1))
+            good = all([e[2] for e in each]) or self.spelled(
+                np.frombuffer(a, np.int32).tolist(), np.frombuffer(b, np.int32).tolist(), b" " + text.encode()
+            )
+            found.append(Encoded(a, b, good))
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -216,24 +290,18 @@ def _measured(texts: list[str | None], encoders: Encoders) -> list[Figures]:
     parts = [(i, part) for i, text in enumerate(texts) if text for part in text_parts(text)]
     if not parts:
         return found
-    a, b = encoders.encode([p for _, p in parts])
-    bad, size = set(), []
-    for (i, part), x, y in zip(parts, a, b):
-        text = b" " + part.encode("utf-8", "surrogatepass")
-        size.append(len(text))
-        if i not in bad and not (encoders.a_tokens.spells(x, text) and encoders.b_tokens.spells(y, text)):
-            bad.add(i)
+    encoded = encoders.parts([p for _, p in parts])
+    bad = {i for (i, _), e in zip(parts, encoded) if not e.spelled}
+    size = [len(part.encode()) + 1 for _, part in parts]
     good = [n for n, (i, _) in enumerate(parts) if i not in bad]
-    while good:
-        total, mine = 0, []
-        while good and (not mine or total + size[good[0]] <= UNIT):
-            total += size[good[0]]
-            mine.append(good.pop(0))
+    for low, high in _runs([size[n] for n in good], UNIT):
+        mine = good[low:high]
         unit = Unit(
-            np.concatenate([np.array(a[n], np.int64) for n in mine]),
-            np.concatenate([np.array(b[n], np.int64) for n in mine]),
-            np.array([len(a[n]) for n in mine]),
-            np.array([len(b[n]) for n in mine]),
+            *(
+                np.frombuffer(b"".join([encoded[n][k] for n in mine]), np.int32).astype(np.int64)
+                for k in (0, 1)
+            ),
+            *(np.array([len(encoded[n][k]) // 4 for n in mine]) for k in (0, 1)),
             np.array([size[n] for n in mine]),
         )
         link_a, link_b = unit.merged(encoders)
@@ -242,23 +310,23 @@ def _measured(texts: list[str | None], encoders: Encoders) -> list[Figures]:
         upto = np.searchsorted(link_a, np.cumsum(unit.n_a))
         shown, ends = unit.shown()
         first, begin = 0, 0
-        for n, after, end in zip(mine, upto.tolist(), ends.tolist()):
-            found[parts[n][0]].add(shown[begin:end], len(a[n]), len(b[n]), pairs[first:after])
+        counts = unit.n_a.tolist(), unit.n_b.tolist()
+        for n, n_a, n_b, after, end in zip(mine, *counts, upto.tolist(), ends.tolist()):
+            found[parts[n][0]].add(shown[begin:end], n_a, n_b, pairs[first:after])
             first, begin = after, end
     return found
 
 
-def _rows(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Ranges of rows whose texts come to about `UNIT` bytes."""
+def _runs(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges whose sizes come to ``most`` at the most, or of one."""
     low, total = 0, 0
-    for i, text in enumerate(texts):
-        size = len(text.as_buffer() or b"") if text.is_valid else 0
-        if i > low and total + size > UNIT:
+    for i, size in enumerate(sizes):
+        if i > low and total + size > most:
             yield low, i
             low, total = i, 0
         total += size
-    if low < len(texts):
-        yield low, len(texts)
+    if low < len(sizes):
+        yield low, len(sizes)
 
 
 @dataclass(frozen=True)
@@ -279,7 +347,8 @@ class Alignment:
             number = TaskContext.get().partitionId() << 33
             used = encoders(*files)
             for batch in batches:
-                for low, high in _rows(batch.column(1)):
+                sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+                for low, high in _runs(sizes, UNIT):
                     part = batch.slice(low, high - low)
                     found = _measured(part.column(1).to_pylist(), used)
                     none = np.zeros(0, np.int64)

@@ -30,6 +30,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from tallyward.llm.generations import Generations
 from tallyward.llm.vocabularies import vocabulary_file
 
 NONE = 1 << 60
@@ -170,8 +171,7 @@ class Bpe:
         self.marks = regex.compile(
             "(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")"
         ).split
-        self.young: dict[str, Found] = {}
-        self.old: dict[str, Found] = {}
+        self.cache: Generations[Found] = Generations(GENERATION, CACHED_LETTERS)
 
     def long_word(self, symbols: list[int]) -> list[int]:
         """Ids of one word, by merges from the root of its pair tree."""
@@ -316,19 +316,9 @@ class Bpe:
 
     def found(self, texts: list[list[str]]) -> Iterator[list[Found]]:
         """What is known of the stretches of each text; new ones are learned first."""
-        young, old = self.young, self.old
-        new = dict.fromkeys(s for s in chain.from_iterable(texts) if s not in young)
-        for stretch in new:
-            new[stretch] = old.get(stretch)
-        new.update(self.learn([s for s, known in new.items() if known is None]))
-        young.update(new)
+        known = self.cache.having(chain.from_iterable(texts), self.learn)
         for stretches in texts:
-            yield [x for x in map(young.__getitem__, stretches) if x[2]]
-        for stretch in new:
-            if len(stretch) > CACHED_LETTERS:
-                del young[stretch]
-        if len(young) > GENERATION:
-            self.old, self.young = young, {}
+            yield [x for x in map(known.__getitem__, stretches) if x[2]]
 
     def encode(self, text: str) -> list[int]:
         found = (f for part in self.parts(text) for f in self.found([self.stretches(part)]))

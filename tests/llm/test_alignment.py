@@ -112,21 +112,34 @@ def test_very_long_texts(spark, libraries):
 
 
 def test_parts_units_and_lanes_change_nothing(libraries, monkeypatch):
-    used = alignment.encoders(BYTE_BPE, PIECES)
     docs = [t for _, t in texts(3, 30)] + ["plain words only " * 20, None, "▁"]
 
     def figures():
+        used = alignment.Encoders(BYTE_BPE, PIECES)
         return [
             (f.sha.hexdigest(), f.n_a, f.n_b, f.n_links, sorted(np.concatenate(f.pairs).tolist()) if f.pairs else [])
             for f in alignment._measured(docs, used)
         ]
 
     whole = figures()
-    for name, value in (("LANE", 3), ("UNIT", 50), ("PART", 20)):
+    for name, value in (("LANE", 3), ("UNIT", 50), ("PART", 20), ("STRETCHES", 5)):
         monkeypatch.setattr(alignment, name, value)
         assert figures() == whole
 
 
+def test_stretches_give_the_ids_of_whole_texts(libraries):
+    used = alignment.Encoders(BYTE_BPE, PIECES)
+    rng = random.Random(7)
+    odd = [" ", "  ", "\n", "\t", "\x1c", "\u00a0", "\u3000", "\u200b", "a", "the", "'s", "é", "e\u0301", "漢", "7", "🙂", "▁", "."]
+    made = ["".join(rng.choice(odd) for _ in range(rng.randint(1, 40))) for _ in range(1500)]
+    for text, found in zip(made, used.parts(made)):
+        a, b = libraries[0].encode(" " + text, add_special_tokens=False).ids, libraries[1].encode(text)
+        if found.spelled:
+            assert np.frombuffer(found.a, np.int32).tolist() == a, repr(text)
+            assert np.frombuffer(found.b, np.int32).tolist() == b, repr(text)
+        assert found.spelled == used.spelled(a, b, b" " + text.encode())
+
+
 def test_joined_counts_equal_broadcast_counts(spark, libraries, monkeypatch):
     docs = texts(4) + [(99, "the same words")] * 40
     monkeypatch.setattr(alignment, "BROADCAST_PAIRS", 0)

@@ -85,7 +85,7 @@ def test_more_words_than_the_cache_holds(library, monkeypatch):
     for _ in range(60):
         text = " ".join("".join(rng.choice("abcdé") for _ in range(rng.randint(1, 4))) for _ in range(30))
         assert encoder.encode(text) == library.encode(text, add_special_tokens=False).ids
-        assert len(encoder.young) <= 20 and len(encoder.old) <= 60
+        assert len(encoder.cache.young) <= 20 + 30 and len(encoder.cache.old) <= 20 + 30
 
 
 def test_long_texts_come_in_parts(spark, library, monkeypatch):
