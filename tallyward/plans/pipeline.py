@@ -27,11 +27,20 @@ STAGED = "_staged"
 
 @dataclass(frozen=True)
 class Batch:
-    """Where to read and write, and the clock of the run."""
+    """Where to read and write, the clock of the run, and its name.
+
+    A run that is named can be run again after a failure: what it had appended stays once. That needs
+    a store in folders, where every write is whole or not there.
+    """
 
     store: TableStore
     as_of: Column | None = None
     run_ts: Column | None = None
+    run_id: str | None = None
+
+    def batch(self, step: str) -> str | None:
+        """The name under which a step of this run appends."""
+        return f"{self.run_id}/{step}" if self.run_id else None
 
     # silver ------------------------------------------------------------------
 
@@ -44,7 +53,7 @@ class Batch:
         kept = [c for c in columns if c != "quarantine_reason"]
         self.store.publish_view(entity.silver, name, "dq_is_valid = 1", kept)
         self.store.publish_view(entity.quarantine, name, "dq_is_valid = 0", columns)
-        self.log(checks.layer_metrics(entity, stored, self.run_ts))
+        self.log(checks.layer_metrics(entity, stored, self.run_ts), entity.name)
 
     def valid(self, entity: silver.Entity) -> DataFrame:
         """Valid rows of a staged entity: reads the valid folder only."""
@@ -70,7 +79,7 @@ class Batch:
         self.store.publish_view(
             "monitoring.quarantine_unified_claims", name, f"{valid} = 0", stored.columns
         )
-        self.log(checks.unified_metrics(stored, self.run_ts))
+        self.log(checks.unified_metrics(stored, self.run_ts), "unified_claims")
 
     def unified(self) -> DataFrame:
         return silver.valid_unified(self.store.read("silver.unified_claims" + STAGED))
@@ -118,7 +127,7 @@ class Batch:
             for spec in specs
         ]
         log = self.store.append(
-            modeling.run_log(spark, runs, self.run_ts), RUNS, contract(RUNS)
+            modeling.run_log(spark, runs, self.run_ts), RUNS, contract(RUNS), self.batch("runs")
         )
         best = modeling.best_run(log)
         entry = modeling.registry_entry(
@@ -129,7 +138,7 @@ class Batch:
             {"project": "provider_risk", "source_table": FEATURES},
             self.run_ts,
         )
-        self.store.append(entry, REGISTRY, contract(REGISTRY))
+        self.store.append(entry, REGISTRY, contract(REGISTRY), self.batch("champion"))
         self.store.overwrite(
             modeling.feature_importance(spark, self.champion_model()),
             "gold.model_feature_importance",
@@ -159,8 +168,8 @@ class Batch:
 
     # quality -----------------------------------------------------------------
 
-    def log(self, metrics: DataFrame) -> None:
-        self.store.append(metrics, HISTORY, contract(HISTORY))
+    def log(self, metrics: DataFrame, step: str) -> None:
+        self.store.append(metrics, HISTORY, contract(HISTORY), self.batch(step))
 
     def check_quality(self) -> None:
         """Check features and predictions, quarantine predictions, refresh the dashboard."""
@@ -171,7 +180,7 @@ class Batch:
             checks.validate_features(table, self.run_ts),
             checks.label_distribution(table, self.run_ts),
         ]
-        self.log(reduce(DataFrame.unionByName, found))
+        self.log(reduce(DataFrame.unionByName, found), "checks")
         quarantine = "quality.quarantine_provider_fraud_predictions"
         self.store.overwrite_checked(
             checks.quarantine_predictions(predictions, self.run_ts),
