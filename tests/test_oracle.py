@@ -5,10 +5,13 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from tallyward.plans.oracle import SQL
-from tallyward.plans.queries import QUERIES
+from tallyward.plans import oracle, oracle_h, queries_h
+from tallyward.plans import queries as plain
 from tests.compare import connect, differences
 
+SQL = oracle.SQL | oracle_h.SQL
+QUERIES = plain.QUERIES | queries_h.QUERIES
+
 # One query of each kind of plan, run with code generation as in production.
 COMPILED = ("b01_dedupe_inpatient", "c21_inpatient_valid", "d08_filled_features", "g05_concentrated")
 
