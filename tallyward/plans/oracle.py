@@ -843,27 +843,33 @@ SPLIT = f"""(
 for forest in ("f03_forest_a", "f04_forest_b"):
     define(
         forest,
-        "SELECT Provider, fraud_label, fraud_label AS predicted_fraud_label "
+        "SELECT Provider, fraud_label, fraud_label AS predicted_fraud_label, true AS score_decides "
         f"FROM {SPLIT} WHERE split = 'test'",
         "learnable",
     )
 define(
     "f06_predictions",
-    f"SELECT Provider, split, fraud_label AS predicted_fraud_label FROM {SPLIT}",
+    "SELECT Provider, split, fraud_label AS predicted_fraud_label, true AS score_decides "
+    f"FROM {SPLIT}",
     "learnable",
 )
 SCORED = [c for c in PREDICTION if c[0] not in ("fraud_probability", "fraud_risk_category")]
 define(
     "f14_batch_scoring",
-    f"SELECT {show(SCORED)} FROM (SELECT *, fraud_label AS predicted_fraud_label, "
+    f"SELECT {show(SCORED)}, true AS score_decides, true AS band_agrees "
+    "FROM (SELECT *, fraud_label AS predicted_fraud_label, "
     f"{NOW} AS prediction_timestamp FROM gold)",
     "learnable",
 )
 SQL["f10_feature_importance"] = (
-    "SELECT CAST(18 AS BIGINT) AS features, CAST(0 AS BIGINT) AS negative, "
-    "CAST(1.0 AS DOUBLE) AS total, true AS carrier_on_top"
+    "SELECT unnest(["
+    + ", ".join(f"'{f}'" for f in FEATURES)
+    + "]) AS feature_name, true AS is_share, CAST(1.0 AS DOUBLE) AS total"
+)
+SQL["g06_feature_importance"] = (
+    f"SELECT CAST(unnest(range(1, {len(FEATURES) + 1})) AS INT) AS rank, true AS no_larger, "
+    "true AS carrier_on_top"
 )
-SQL["g06_feature_importance"] = "SELECT true AS carrier_on_top, true AS highest_first"
 SQL["f11_run_log"] = f"""
     SELECT run_name, 'RandomForestClassifier' AS model_type, CAST(trees AS INT) AS n_estimators,
            CAST(depth AS INT) AS max_depth, 'balanced' AS class_weight,

@@ -833,14 +833,29 @@ def f02_exact(spark, sf_dir):
     return modeling.split_rows(frame).select("Provider", modeling.LABEL, "split")
 
 
+def decided(scored: DataFrame) -> DataFrame:
+    """Scores of a model, which no other engine can repeat, as what must hold of them.
+
+    ``score_decides``: the label is the likelier one. ``band_agrees``, where there is a band: it is
+    that of the probability.
+    """
+    p = F.col("fraud_probability")
+    label = F.when(p > 0.5, 1).otherwise(0)
+    columns = {"score_decides": p.between(0, 1) & (label == F.col("predicted_fraud_label"))}
+    if "fraud_risk_category" in scored.columns:
+        band = F.when(p >= 0.8, "High Risk").when(p >= 0.5, "Medium Risk").otherwise("Low Risk")
+        columns["band_agrees"] = band == F.col("fraud_risk_category")
+    return scored.withColumns(columns).drop("fraud_probability", "fraud_risk_category")
+
+
 @query("f03_forest_a")
 def f03(spark, sf_dir):
-    return fitted(spark, sf_dir).scores[0].drop("fraud_probability")
+    return decided(fitted(spark, sf_dir).scores[0])
 
 
 @query("f04_forest_b")
 def f04(spark, sf_dir):
-    return fitted(spark, sf_dir).scores[1].drop("fraud_probability")
+    return decided(fitted(spark, sf_dir).scores[1])
 
 
 @query("f05_class_weights")
@@ -851,8 +866,10 @@ def f05(spark, sf_dir):
 @query("f06_predictions")
 def f06(spark, sf_dir):
     known = fitted(spark, sf_dir)
-    return modeling.predict(known.runs[0].model, known.split).select(
-        "Provider", "split", "predicted_fraud_label"
+    return decided(
+        modeling.predict(known.runs[0].model, known.split).select(
+            "Provider", "split", "predicted_fraud_label", "fraud_probability"
+        )
     )
 
 
@@ -875,14 +892,13 @@ def f09(spark, sf_dir):
 
 @query("f10_feature_importance")
 def f10(spark, sf_dir):
-    """What must hold: a score for each input, none negative, one in all, a carrier on top."""
+    """Every input with what must hold: a share between 0 and 1, one in all."""
     scores = modeling.feature_importance(spark, champion_model(spark, sf_dir))
-    top = F.max_by("feature_name", "importance_score")
-    return scores.agg(
-        F.count_distinct("feature_name").alias("features"),
-        F.count_if(F.col("importance_score") < 0).alias("negative"),
-        F.sum("importance_score").alias("total"),
-        top.isin(*CARRIERS).alias("carrier_on_top"),
+    total = scores.agg(F.sum("importance_score")).first()[0]
+    return scores.select(
+        "feature_name",
+        F.col("importance_score").between(0, 1).alias("is_share"),
+        F.lit(round(total, 6)).alias("total"),
     )
 
 
@@ -917,7 +933,7 @@ def f13(spark, sf_dir):
 def f14(spark, sf_dir):
     table = fitted(spark, sf_dir).store.read("gold.provider_fraud_features")
     scored = scoring.score_providers(champion_model(spark, sf_dir), table, run_ts())
-    return scored.drop("fraud_probability", "fraud_risk_category")
+    return decided(scored)
 
 
 @query("f15_risk_band")
@@ -970,14 +986,14 @@ def g05_scored(spark, sf_dir):
 
 @query("g06_feature_importance")
 def g06(spark, sf_dir):
-    """The top row of the ranking is a carrier, and no score is above it."""
+    """Every rank: the score is no larger than the one above, and a carrier is on top."""
     scores = modeling.feature_importance(spark, champion_model(spark, sf_dir))
-    best = scores.agg(F.max("importance_score")).scalar()
-    top = analyst.importance_ranking(scores).limit(1)
-    return top.select(
-        F.col("feature_name").isin(*CARRIERS).alias("carrier_on_top"),
-        (F.col("importance_score") == best).alias("highest_first"),
-    )
+    ranked = analyst.importance_ranking(scores).collect()  # one row per feature of the model
+    rows = [
+        (rank, below["importance_score"] <= above["importance_score"], rank > 1 or below["feature_name"] in CARRIERS)
+        for rank, (above, below) in enumerate(zip([ranked[0], *ranked], ranked), 1)
+    ]
+    return spark.createDataFrame(rows, "rank int, no_larger boolean, carrier_on_top boolean")
 
 
 @query("g07_top_prompts")
