@@ -3,13 +3,15 @@
 **Writing.** Records of equal payload of at least ``least`` bytes are one response, that with the
 largest page id, and revisits that refer to it; all others are responses. Every task writes packages
 of bounded size to the shared folder: a stored member with the records, each a gzip member of its
-own, and a stored index of where they stand. A package counts only once its row is in the manifest
+own, and a stored CDXJ index of where they stand. A package counts only once its row is in the manifest
 table, which Spark commits, so what a lost task left behind is never read.
 
 **Reading.** A package is opened at its end: the end record, the ZIP64 end record if there is one, the
 central directory, and the local header of the member wanted. Stored members are plain byte ranges of
-the package, so the index and then the records are read by range, neighbours together, a few megabytes
-at a time. Nothing is extracted.
+the package, so the indexes and then the records are read by range, neighbours together, a few megabytes
+at a time. Nothing is extracted. Packages of others are read alike: archives and indexes are located in
+the directory by their folders, records by the CDXJ lines of all indexes, and archives that no index
+names are walked from record to record.
 
 Packages are read and written with Arrow's file systems (file, s3, gs, hdfs and so on), by the URI of
 the folder that all executors share.
@@ -21,22 +23,27 @@ import base64
 import gzip
 import hashlib
 import json
+import re
 import struct
 import uuid
+import zipfile
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
-from urllib.parse import quote, unquote
+from urllib.parse import quote, unquote, urlsplit
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.sources.scratch import Scratch
 
 RECORDS, INDEX = "archive/records.warc.gz", "indexes/index.cdxj"
+# Where packages keep archives and indexes, and what these end in.
+ARCHIVES, ARCHIVE_ENDS = "archive/", (".warc", ".warc.gz")
+INDEXES, INDEX_ENDS = "indexes/", (".cdx", ".cdxj", ".cdx.gz", ".cdxj.gz")
 # Fixed values of the ZIP format: signatures, and the numbers that say "see the ZIP64 field".
 LOCAL, CENTRAL, END, END64, LOCATOR = 0x04034B50, 0x02014B50, 0x06054B50, 0x06064B50, 0x07064B50
 FULL16, FULL32 = 0xFFFF, 0xFFFFFFFF
@@ -155,6 +162,47 @@ class ZipReader:
     def read(self, name: str) -> bytes:
         return self._read(*self.range(name))
 
+    def text(self, name: str) -> bytes:
+        """A small member whole, whether its package or itself is compressed."""
+        method, header, size = self.members[name]
+        if method == zipfile.ZIP_DEFLATED:
+            n, m = struct.unpack_from("<HH", self._read(header, 30), 26)
+            data = zlib.decompress(self._read(header + 30 + n + m, size), -zlib.MAX_WBITS)
+        else:
+            data = self.read(name)
+        return gzip.decompress(data) if name.endswith(".gz") else data
+
+    def archives(self) -> list[str]:
+        return [n for n in self.members if n.startswith(ARCHIVES) and n.endswith(ARCHIVE_ENDS)]
+
+    def indexes(self) -> list[str]:
+        return [n for n in self.members if n.startswith(INDEXES) and n.endswith(INDEX_ENDS)]
+
+    def records(self) -> Iterator[bytes]:
+        """Every record of every archive, as it is stored: by the indexes, or else one after another."""
+        places: dict[str, dict[int, int]] = {n: {} for n in self.archives()}
+        short = {n.rsplit("/", 1)[1]: n for n in places}
+        for index in self.indexes():
+            for line in self.text(index).splitlines():
+                brace = line.find(b"{")
+                if brace < 0:
+                    continue
+                entry = json.loads(line[brace:])
+                archive = short.get(entry["filename"].rsplit("/", 1)[-1])
+                if archive is None:
+                    raise ValueError(f"{index} names an archive that is not there: {entry['filename']}")
+                places[archive][int(entry["offset"])] = int(entry["length"])
+        for archive, found in places.items():
+            yield from self.pieces(archive, sorted(found.items())) if found else self.walk(archive)
+
+    def walk(self, name: str) -> Iterator[bytes]:
+        """The records of an archive without an index, read a few megabytes at a time."""
+        base, size = self.range(name)
+        chunks = (
+            self._read(base + at, min(READ_AT_ONCE, size - at)) for at in range(0, size, READ_AT_ONCE)
+        )
+        yield from gzip_members(chunks) if name.endswith(".gz") else plain_records(chunks)
+
     def pieces(self, name: str, ranges: list[tuple[int, int]]) -> Iterator[bytes]:
         """The bytes of ranges of a member, in order; close ones are read together."""
         base, _ = self.range(name)
@@ -176,6 +224,63 @@ class ZipReader:
 # ---- WARC records
 
 
+def gzip_members(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """The contents of each gzip member of a stream."""
+    unpack, out = None, []
+    for chunk in chunks:
+        while chunk:
+            unpack = unpack or zlib.decompressobj(16 + zlib.MAX_WBITS)
+            out.append(unpack.decompress(chunk))
+            if not unpack.eof:
+                break
+            yield b"".join(out)
+            chunk, unpack, out = unpack.unused_data, None, []
+    if unpack:
+        raise ValueError("an archive ends within a record")
+
+
+def plain_records(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """The records of a stream that is not compressed."""
+    held = b""
+    for chunk in chunks:
+        held += chunk
+        while (head := held.find(b"\r\n\r\n")) >= 0:
+            length = re.search(rb"(?im)^content-length:\s*([0-9]+)", held[:head])
+            if not length:
+                raise ValueError("a WARC record without a length")
+            end = head + 4 + int(length[1]) + 4
+            if len(held) < end:
+                break
+            yield held[:end]
+            held = held[end:]
+    if held.strip():
+        raise ValueError("an archive ends within a record")
+
+
+def sort_key(url: str) -> str:
+    """The key of a URL in a CDXJ index: its host from the top, then the rest."""
+    parts = urlsplit(url)
+    return ",".join(reversed((parts.hostname or "").split("."))) + ")" + (parts.path or "/") + (
+        f"?{parts.query}" if parts.query else ""
+    )
+
+
+def index_line(url: str, sha1: str, place: int, length: int) -> bytes:
+    """One line of a CDXJ index."""
+    entry = {
+        "url": url,
+        "digest": f"sha1:{base64.b32encode(bytes.fromhex(sha1)).decode()}",
+        "length": str(length),
+        "offset": str(place),
+        "filename": RECORDS.removeprefix(ARCHIVES),
+    }
+    return f"{sort_key(url)} 20240101000000 {json.dumps(entry)}\n".encode()
+
+
+def quoted(url: str | None) -> str:
+    return quote(url or "", safe=":/?#@!$&()*+,;=~")
+
+
 def record(page, url: str | None, payload: bytes, sha1: str, refers_to, revisit: bool) -> bytes:
     """One WARC record, as a gzip member."""
     http = (
@@ -189,7 +294,7 @@ def record(page, url: str | None, payload: bytes, sha1: str, refers_to, revisit:
         f"WARC-Type: {'revisit' if revisit else 'response'}",
         f"WARC-Record-ID: <urn:page:{'' if page is None else page}>",
         "WARC-Date: 2024-01-01T00:00:00Z",
-        f"WARC-Target-URI: {quote(url or '', safe=':/?#[]@!$&()*+,;=~')}",
+        f"WARC-Target-URI: {quoted(url)}",
         f"WARC-Payload-Digest: sha1:{digest}",
         "Content-Type: application/http; msgtype=response",
         f"Content-Length: {len(block)}",
@@ -199,29 +304,45 @@ def record(page, url: str | None, payload: bytes, sha1: str, refers_to, revisit:
     return gzip.compress("\r\n".join([*lines, "", ""]).encode() + block + b"\r\n\r\n", 3, mtime=0)
 
 
+def _id_of(value: str | None) -> str | None:
+    """A record id without its brackets and, if it is of a page here, without its prefix."""
+    return (value or "").strip("<>").removeprefix("urn:page:") or None
+
+
 def parse_record(data: bytes) -> dict:
-    """Fields of a record; the payload is checked against its length and digest."""
-    raw = gzip.decompress(data)
+    """Fields of a record, gzipped or not; a payload is checked against its length and digest.
+
+    The payload is what follows the HTTP head, in records without one the whole block. Lengths and
+    digests that the record does not give, or not as SHA-1, are taken from the payload.
+    """
+    raw = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
     head, _, rest = raw.partition(b"\r\n\r\n")
     version, *lines = head.decode().split("\r\n")
     if not version.startswith("WARC/"):
         raise ValueError("not a WARC record")
-    fields = {name.lower(): value for name, _, value in (line.partition(": ") for line in lines)}
+    fields = {n.lower(): v.strip() for n, _, v in (line.partition(":") for line in lines)}
     block = rest[: int(fields["content-length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    length = int(next(h for h in http.split(b"\r\n") if h.lower().startswith(b"content-length:"))[15:])
-    sha1 = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()
-    revisit = fields["warc-type"] == "revisit"
-    if not revisit and (len(payload) != length or hashlib.sha1(payload).hexdigest() != sha1):
-        raise ValueError(f"{fields['warc-record-id']}: payload and digest differ")
-    page = fields["warc-record-id"][len("<urn:page:") : -1]
+    kind, payload, length = fields["warc-type"], block, None
+    if fields.get("content-type", "").startswith("application/http"):
+        http, _, payload = block.partition(b"\r\n\r\n")
+        given = re.search(rb"(?im)^content-length:[ \t]*([0-9]+)", http)
+        length = int(given[1]) if given else None
+    revisit = kind == "revisit"
+    digest = fields.get("warc-payload-digest", "")
+    sha1 = base64.b32decode(digest[5:]).hex() if digest.startswith("sha1:") else None
+    if not revisit:
+        found = hashlib.sha1(payload).hexdigest()
+        wrong = length is not None and kind == "response" and len(payload) != length
+        if wrong or (sha1 is not None and found != sha1):
+            raise ValueError(f"{fields['warc-record-id']}: payload and digest differ")
+        length, sha1 = len(payload), found
     return {
-        "page": page or None,
-        "url": unquote(fields["warc-target-uri"]),
+        "page": _id_of(fields["warc-record-id"]),
+        "url": unquote(fields.get("warc-target-uri", "").strip("<>")),
         "bytes": length,
         "sha1": sha1,
-        "type": fields["warc-type"],
-        "refers_to": fields["warc-refers-to"][len("<urn:page:") : -1] if revisit else None,
+        "type": kind,
+        "refers_to": _id_of(fields.get("warc-refers-to")) if revisit else None,
         "payload": None if revisit else payload,
     }
 
@@ -278,7 +399,7 @@ class WarcStore:
                 path = f"{root}/{uuid.uuid4().hex}.wacz"
                 total = 0
                 with files.open_output_stream(path) as out:
-                    for part in zip_package([(RECORDS, held), (INDEX, index)]):
+                    for part in zip_package([(RECORDS, held), (INDEX, sorted(index))]):
                         out.write(part)
                         total += len(part)
                 row = [[path], [total], [len(held)]]
@@ -293,8 +414,7 @@ class WarcStore:
                     data = record(
                         page, url.as_py(), payload.as_py(), sha1.as_py(), response, response is not None
                     )
-                    line = {"page": page, "offset": size, "length": len(data)}
-                    index.append(json.dumps(line).encode() + b"\n")
+                    index.append(index_line(quoted(url.as_py()), sha1.as_py(), size, len(data)))
                     held.append(data)
                     size += len(data)
                     if size >= most:
@@ -306,20 +426,24 @@ class WarcStore:
         rows = self.decided(pages).mapInArrow(run, "path string, size bigint, records bigint")
         return scratch.keep(rows, "manifest")
 
+    def packages(self, spark: SparkSession, path: str) -> DataFrame:
+        """The manifest (path, size) of packages of others, by a path or pattern; lists them only."""
+        found = spark.read.format("binaryFile").load(path)
+        return found.select("path", F.col("length").alias("size"))
+
     def read(self, manifest: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
-        """Every record of the packages: (page, url, bytes, sha1, type, refers_to[, payload])."""
+        """Every record of the packages: (page, url, bytes, sha1, type, refers_to[, payload]).
+
+        Paths are URIs, or places in the file system of ``folder``. ``page`` is the id of the record.
+        """
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            files, _ = file_system(folder)
+            own, _ = file_system(folder)
             for batch in batches:
                 for path, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    with files.open_input_file(path) as file:
-                        package = ZipReader(file, size)
-                        places = [
-                            (entry["offset"], entry["length"])
-                            for entry in map(json.loads, package.read(INDEX).splitlines())
-                        ]
-                        found = map(parse_record, package.pieces(RECORDS, places))
+                    files, place = file_system(path) if ":/" in path else (own, path)
+                    with files.open_input_file(place) as file:
+                        found = map(parse_record, ZipReader(file, size).records())
                         yield from _rows(found, payloads)
 
         schema = "page string, url string, bytes bigint, sha1 string, type string, refers_to string"
