@@ -36,9 +36,9 @@ from tallyward.llm.vocabularies import vocabulary_file
 NONE = 1 << 60
 NO_RANK = (1 << 31) - 1  # the same in the arrays of many trees
 LONGEST = 62
-GENERATION = 100_000  # stretches of text that a generation of the cache holds
+GENERATION = 50_000  # stretches of text that a generation of the cache holds
 CACHED_LETTERS = 64
-SLICE = 1 << 20  # letters of text whose new words are encoded together
+SLICE = 1 << 17  # letters of text whose new words are encoded together
 # Fixed value: the white space class of the vocabulary's patterns.
 SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
