@@ -126,7 +126,10 @@ class ChatFormat:
     def formatted(self, rows: DataFrame) -> DataFrame:
         """(conv_id, formatted, ids, mask, loss) for each conversation; loss is the masked spans.
 
-        Null roles and texts are empty, a null id is an id. An empty table gives an empty result.
+        Null roles and texts are empty, a null id is an id. An empty table gives an empty result. Rows
+        that repeat an id and a turn are turns of their own, in the order of role and text. Very long
+        texts are rendered and encoded whole, so a conversation must fit into one row. Columns other
+        than conv_id, turn, role and text are not read.
         """
         kind = rows.schema["conv_id"].dataType.simpleString()
         file, role = self.file, self.loss_role

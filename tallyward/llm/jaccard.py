@@ -290,7 +290,8 @@ class JaccardJoin:
         empty set and links with nothing, so its component is its own key. Rows with equal sets are
         always linked; rows that repeat a key with different texts are told apart by a hash of the
         text and may be in different components. Null keys are passed over as component ids unless
-        a component has no other. Other columns are not read.
+        a component has no other. Texts are read whole, however long. An empty table gives an empty
+        result. Other columns are not read.
         """
         labelled = self.labelled(docs)
         # stored, so that the join can be split where a component is hot
@@ -455,7 +456,8 @@ def one_of_each(docs: DataFrame, join: JaccardJoin | None = None) -> DataFrame:
     """One row of ``docs`` for each component, with its columns: the one with the smallest key.
 
     Rows with an empty set all stay. Of rows alike in key and text the one that sorts first by its
-    other columns stays; a null key stays only where its component has no other.
+    other columns stays; a null key stays only where its component has no other. An empty table
+    stays empty, and texts of any length are compared whole.
     """
     join = join or JaccardJoin()
     found = join.labelled(docs)

@@ -214,7 +214,8 @@ class Mixture:
         Null languages and sources are names of their own. A null or wordless text has no tokens:
         it costs nothing and is taken where the prefix reaches it. Rows with equal key and tokens
         stand at one place and are taken together. Null keys order first. An empty table gives an
-        empty mixture; columns other than key, text, lang and source are read only by ``domain``.
+        empty mixture; columns other than key, text, lang and source are read only by ``domain``. A
+        text counts with all its tokens, however long; one that does not fit ends the prefix before it.
         """
         scratch = Scratch.create(docs.sparkSession)
         rows = scratch.keep(self._rows(docs), "rows")

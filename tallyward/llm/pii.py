@@ -151,7 +151,9 @@ def personal_data(
     """Per row: key, n_email, n_ip, n_card, n_phone, base_sha256, spans and, if asked, redacted.
 
     A null text is empty: no spans, the digest of the empty string. Every input row gives one row,
-    repeated keys included; other columns are not read. One pass, no shuffle.
+    repeated keys included; other columns are not read. An empty table gives an empty result. Texts
+    are searched whole, however long. Spans of different kinds may overlap; those of one start are in
+    the order of `KINDS`. One pass, no shuffle.
     """
     kind = docs.schema[key].dataType.simpleString()
 

@@ -310,7 +310,8 @@ class CoTraining:
         Every row is scored by the models, labelled ones too. Null texts, sources and languages are
         values of their own. Without any usable label all probabilities are one half and all rows
         are kept. A label of a key that several rows share holds for all of them. An empty table
-        gives an empty result; columns with the names of the scores are replaced.
+        gives an empty result; columns with the names of the scores are replaced. Texts are scored
+        whole, however long, and rows that repeat one are scored alike.
         """
         views, weights = self.fit(docs, labels)
         added = ("s_content", "s_meta", "p_quality", "kept")

@@ -466,7 +466,9 @@ def round_trip(pages: DataFrame, store: WarcStore | None = None) -> DataFrame:
     """Write all pages, read them back: (page_id, payload_bytes, payload_digest, record_type, refers_to).
 
     One row per page row, repeated ids included. An empty table gives an empty result; columns other
-    than page_id, url and html are not read.
+    than page_id, url and html are not read. A page is one record however long, held whole by its
+    task. Page ids are numbers, or texts without line breaks and angle brackets; an empty text comes
+    back as null.
     """
     store, scratch = store or WarcStore(), Scratch.create(pages.sparkSession)
     kind = pages.schema["page_id"].dataType
