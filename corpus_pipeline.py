@@ -51,7 +51,14 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each is written and read again before the next."""
+    """All stages over ``documents``; each is written and read again before the next.
+
+    Null and empty texts have no shingles and no tokens: the classifier judges them as texts, one of
+    them stays, and they are encoded to nothing. Rows that repeat a key or text are one text to the
+    dedup stages. Ties fall to the smaller key, then to what sorts first. Very long texts are worked
+    on whole. Columns beyond those of ``documents`` go through all stages but the last, which returns
+    doc_id, n_tokens, ids_sha256 and decoded_sha256. An empty table gives an empty result.
+    """
     scratch = Scratch.create(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for n, (_, stage) in enumerate(STAGES):
