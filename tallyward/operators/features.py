@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,20 +58,8 @@ def claim_indicators(
 
 
 def patient_visits(claims: DataFrame) -> DataFrame:
-    """Claims with indicators, summed per provider and beneficiary."""
-    sums = [
-        agg(F.col(c)).alias(f"{name}_{c}")
-        for c in AVERAGES.values()
-        for name, agg in (("sum", F.sum), ("known", F.count))
-    ]
-    return claims.groupBy("Provider", "BeneID").agg(
-        F.count("*").alias("claim_rows"),
-        F.sum("is_inpatient_claim").alias("inpatient_claims"),
-        F.sum("is_outpatient_claim").alias("outpatient_claims"),
-        F.sum("is_high_reimbursement_claim").alias("high_reimbursement_claims"),
-        F.max("InscClaimAmtReimbursed").alias("max_reimbursement_amount"),
-        *sums,
-    )
+    """Number of claims per provider and beneficiary."""
+    return claims.groupBy("Provider", "BeneID").agg(F.count("*").alias("claim_rows"))
 
 
 def provider_totals(
@@ -77,20 +67,31 @@ def provider_totals(
 ) -> DataFrame:
     """The 13 measures per provider, from claims with indicators.
 
-    Claims are summed per provider and beneficiary first. That step counts beneficiaries exactly
+    Three parts meet in one aggregation, which combines within each task before its shuffle: the
+    claims with their amounts, which are shuffled here alone; the visits; and the claim ids. Claims
+    are counted per provider and beneficiary before the join. That step counts beneficiaries exactly
     and leaves the join far fewer and narrower rows; a heavy beneficiary has at most one row per
     provider, a heavy provider is spread over its beneficiaries. Claim ids are made distinct on the
-    two columns they need, or estimated with ``approx``. Both parts meet in one aggregation, which
-    combines within each task before its shuffle.
+    two columns they need, or estimated with ``approx``.
     """
     visits = (
         patient_visits(claims)
         .join(chronic_flags(beneficiaries), "BeneID", "left")
-        .withColumn(
-            "chronic_condition_claims",
-            F.col("claim_rows") * F.coalesce("has_chronic_condition", F.lit(0)),
+        .select(
+            "Provider",
+            "BeneID",
+            (F.col("claim_rows") * F.coalesce("has_chronic_condition", F.lit(0))).alias(
+                "chronic_condition_claims"
+            ),
         )
     )
+    measured = claims.select(
+        "Provider",
+        F.col("is_inpatient_claim").alias("inpatient_claims"),
+        F.col("is_outpatient_claim").alias("outpatient_claims"),
+        F.col("is_high_reimbursement_claim").alias("high_reimbursement_claims"),
+        *AVERAGES.values(),
+    )
     ids = claims.select("Provider", "ClaimID")
     if approx:
         counted = ids.groupBy("Provider").agg(F.approx_count_distinct("ClaimID").alias("claims"))
@@ -101,15 +102,21 @@ def provider_totals(
     def total(column: str) -> Column:
         return F.sum(column).alias(column)
 
-    sums = visits.unionByName(counted, allowMissingColumns=True).groupBy("Provider").agg(
+    parts = [measured, visits, counted]
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    sums = union.groupBy("Provider").agg(
         F.sum("claims").cast("bigint").alias("total_claims"),
         F.count("BeneID").alias("unique_beneficiaries"),
         total("inpatient_claims"),
         total("outpatient_claims"),
         total("high_reimbursement_claims"),
         total("chronic_condition_claims"),
-        F.max("max_reimbursement_amount").alias("max_reimbursement_amount"),
-        *[total(f"{kind}_{c}") for c in AVERAGES.values() for kind in ("sum", "known")],
+        F.max("InscClaimAmtReimbursed").alias("max_reimbursement_amount"),
+        *[
+            agg(c).alias(f"{kind}_{c}")
+            for c in AVERAGES.values()
+            for kind, agg in (("sum", F.sum), ("known", F.count))
+        ],
     )
     return sums.select(
         "Provider",

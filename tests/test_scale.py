@@ -69,3 +69,10 @@ def test_parsers_see_the_kept_row(spark):
     rows = [("k", "0-no-date", 1), ("k", "2009-01-01", 0)]
     df = spark.createDataFrame(rows, "k string, day string, n int")
     assert [tuple(r) for r in dedupe(df, "k", None, {"day": S.parse_date}).collect()] == [("k", None, 1)]
+
+
+def test_amounts_are_shuffled_once(spark, sf_dir):
+    claims = features.claim_indicators(Q.claims(spark, sf_dir))
+    plan = plan_of(features.provider_totals(claims, Q.valid(Q.BENE, spark, sf_dir)))
+    visits = re.findall(r"HashAggregate\(keys=\[Provider#\d+, BeneID#\d+\].*", plan)
+    assert visits and not any("sum(" in v or "max(" in v for v in visits)
