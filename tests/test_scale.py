@@ -76,3 +76,8 @@ def test_amounts_are_shuffled_once(spark, sf_dir):
     plan = plan_of(features.provider_totals(claims, Q.valid(Q.BENE, spark, sf_dir)))
     visits = re.findall(r"HashAggregate\(keys=\[Provider#\d+, BeneID#\d+\].*", plan)
     assert visits and not any("sum(" in v or "max(" in v for v in visits)
+
+
+def test_history_cleans_each_table_once(spark, sf_dir, deduped):
+    Q.history(spark, sf_dir)
+    assert sorted(deduped) == ["BeneID", "ClaimID", "ClaimID", "Provider"]
