@@ -81,3 +81,8 @@ def test_amounts_are_shuffled_once(spark, sf_dir):
 def test_history_cleans_each_table_once(spark, sf_dir, deduped):
     Q.history(spark, sf_dir)
     assert sorted(deduped) == ["BeneID", "ClaimID", "ClaimID", "Provider"]
+
+
+def test_consistency_cleans_claims_once(spark, sf_dir, deduped):
+    Q.QUERIES["i02_aggregate_consistency"](spark, sf_dir)
+    assert deduped.count("ClaimID") == 2
