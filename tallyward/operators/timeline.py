@@ -38,7 +38,8 @@ def as_of_join(
     over. Both times are dates or both are timestamps.
 
     Only distinct pairs of key and time are put in order, so rows that repeat them cost nothing here.
-    Each slice starts from the last value of the slices before it.
+    Each slice starts from the last value of the slices before it, which come from ``right`` alone:
+    the many times of ``left`` are sorted in their window and in no other place.
     """
     known = (
         right.filter(F.col(by).isNotNull() & F.col(right_time).isNotNull())
@@ -56,13 +57,17 @@ def as_of_join(
         .unionByName(asked.withColumn("_value", empty).withColumn("_asks", F.lit(True)))
         .withColumn("_slice", _slice(F.col("_at"), slice_days))
     )
-    # one row per key and slice: what the slices before leave it with
-    ends = points.groupBy("_by", "_slice").agg(
-        F.max(F.when(~F.col("_asks"), F.struct("_at", "_value"))).alias("_end")
-    )
-    before = W.partitionBy("_by").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    carried = ends.select(
-        "_by", "_slice", F.last("_end", ignorenulls=True).over(before)["_value"].alias("_carried")
+    # one row per key and slice that asks: what the slices before leave it with
+    asking = asked.select("_by", _slice(F.col("_at"), slice_days).alias("_slice")).distinct()
+    last_known = F.max(F.struct("_at", "_value")).alias("_end")
+    ends = known.groupBy("_by", _slice(F.col("_at"), slice_days).alias("_slice")).agg(last_known)
+    before = W.partitionBy("_by").orderBy("_slice").rangeBetween(W.unboundedPreceding, -1)
+    carried = (
+        ends.withColumn("_asks", F.lit(False))
+        .unionByName(asking.withColumn("_asks", F.lit(True)), allowMissingColumns=True)
+        .withColumn("_carried", F.last("_end", ignorenulls=True).over(before)["_value"])
+        .filter("_asks")
+        .select("_by", "_slice", "_carried")
     )
     # values come before questions of the same time
     upto = W.partitionBy("_by", "_slice").orderBy("_at", "_asks")

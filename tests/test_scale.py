@@ -86,3 +86,13 @@ def test_history_cleans_each_table_once(spark, sf_dir, deduped):
 def test_consistency_cleans_claims_once(spark, sf_dir, deduped):
     Q.QUERIES["i02_aggregate_consistency"](spark, sf_dir)
     assert deduped.count("ClaimID") == 2
+
+
+def test_as_of_join_carries_known_values_alone(spark):
+    """What a slice leaves to the next is taken from the right side, not from every question."""
+    left = spark.createDataFrame([("a", "2009-08-01"), ("a", "2009-01-01"), ("b", "2009-08-01")], "k string, t string")
+    right = spark.createDataFrame([("a", "2009-02-01", 1), ("a", "2009-08-02", 2)], "k string, t string, v int")
+    left, right = (df.withColumn("t", F.to_date("t")) for df in (left, right))
+    found = timeline.as_of_join(left, right, "k", "t", "t", ["v"])
+    assert "max(CASE" not in plan_of(found)
+    assert sorted((r["k"], str(r["t"]), r["v"]) for r in found.collect() if r["v"]) == [("a", "2009-08-01", 1)]
