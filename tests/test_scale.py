@@ -96,3 +96,20 @@ def test_as_of_join_carries_known_values_alone(spark):
     found = timeline.as_of_join(left, right, "k", "t", "t", ["v"])
     assert "max(CASE" not in plan_of(found)
     assert sorted((r["k"], str(r["t"]), r["v"]) for r in found.collect() if r["v"]) == [("a", "2009-08-01", 1)]
+
+
+def test_a_batch_is_read_once_and_an_empty_one_changes_nothing(spark, tmp_path):
+    schema = "ClaimID string, amount double"
+    empty = spark.createDataFrame([], schema)
+    ingest = FileIngest(
+        TableStore(spark, str(tmp_path / "tables")), "", empty.schema, "silver.claims", "ClaimID", "c", buckets=4
+    )
+    ingest.take(spark.createDataFrame([("c1", 2.0), ("c2", 2.0)], schema), 0)
+    batch, made = counted(spark, [("c1", 1.0), ("c2", 3.0), (None, 1.0)], schema)
+    ingest.take(batch, 1)
+    assert made.value == 3
+    kept = {("c1", 1.0), ("c2", 2.0), (None, 1.0)}
+    assert set(map(tuple, ingest.store.read("silver.claims").collect())) == kept
+    numbers = ingest.store.log("silver.claims").numbers()
+    ingest.take(empty, 2)
+    assert ingest.store.log("silver.claims").numbers() == numbers
