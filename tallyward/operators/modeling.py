@@ -173,7 +173,7 @@ def training_rows(train: DataFrame, spec: ForestSpec) -> DataFrame:
 
 
 def fit_forest(train: DataFrame, spec: ForestSpec) -> PipelineModel:
-    """Fit on weighted rows."""
+    """Fit on weighted rows, which are kept while the fit passes over them several times."""
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="inputs")
     forest = RandomForestClassifier(
         featuresCol="inputs",
@@ -184,7 +184,11 @@ def fit_forest(train: DataFrame, spec: ForestSpec) -> PipelineModel:
         seed=spec.seed,
         maxMemoryInMB=spec.memory_mb,
     )
-    return Pipeline(stages=[assembler, forest]).fit(training_rows(train, spec))
+    rows = training_rows(train, spec).persist()
+    try:
+        return Pipeline(stages=[assembler, forest]).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def predict(model: PipelineModel, frame: DataFrame) -> DataFrame:

@@ -113,3 +113,14 @@ def test_a_batch_is_read_once_and_an_empty_one_changes_nothing(spark, tmp_path):
     numbers = ingest.store.log("silver.claims").numbers()
     ingest.take(empty, 2)
     assert ingest.store.log("silver.claims").numbers() == numbers
+
+
+def test_a_fit_makes_its_rows_once(spark):
+    """One pass weighs the labels, one makes the rows; the fit itself reads what is kept."""
+    names = ["Provider", M.LABEL, *M.FEATURES]
+    rows = [(f"p{i}", i % 2, *[float(i % 2 * j + i % 5) for j in range(len(M.FEATURES))]) for i in range(40)]
+    schema = f"Provider string, {M.LABEL} int, " + ", ".join(f"{f} double" for f in M.FEATURES)
+    train, made = counted(spark, rows, schema)
+    model = M.fit_forest(train.select(names), M.ForestSpec("small", trees=3, depth=2, partitions=2))
+    assert made.value <= 2 * len(rows)
+    assert model.stages[-1].getNumTrees == 3
