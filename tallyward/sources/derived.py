@@ -38,22 +38,32 @@ def _claims(spark: SparkSession, sf_dir: str, status: str, provider: str) -> Dat
         lines = lines.join(part, lines["l_partkey"] == part["p_partkey"])
     stay = status == "F"
     deductible = "CAST(CAST(round(l_tax * 10000) AS BIGINT) AS STRING)"
+    if stay:
+        deductible = f"IF(l_discount = 0, 'NA', {deductible})"
+    # formed before the join, whose shuffle is the narrower for it
+    lines = lines.selectExpr(
+        "l_orderkey",
+        "l_linenumber",
+        f"{provider} AS provider",
+        "CAST(l_shipdate AS DATE) AS shipped",
+        "CAST(l_quantity AS INT) % 10 AS stay_days",
+        f"IF(l_returnflag = 'R' AND l_tax = 0, -1, 1) * {factor} * (l_extendedprice / 10) AS amount",
+        f"{deductible} AS deductible",
+    )
     columns = {
         "ClaimID": "concat('CLM', l_orderkey, '-', l_linenumber)",
         "BeneID": "concat('BENE', o_custkey)",
-        "Provider": f"CASE WHEN l_orderkey % 97 <> 0 THEN concat('PRV', {provider}) END",
+        "Provider": f"CASE WHEN l_orderkey % 97 <> 0 THEN concat('PRV', provider) END",
         "ClaimStartDt": "CAST(shipped AS STRING)",
         "ClaimEndDt": "CAST(date_add(shipped, l_linenumber - 2) AS STRING)",
         "AdmissionDt": "CAST(shipped AS STRING)",
-        "DischargeDt": "CAST(date_add(shipped, CAST(l_quantity AS INT) % 10 - 1) AS STRING)",
-        "InscClaimAmtReimbursed": f"IF(l_returnflag = 'R' AND l_tax = 0, -1, 1) "
-        f"* {factor} * (l_extendedprice / 10)",
-        "DeductibleAmtPaid": f"IF(l_discount = 0, 'NA', {deductible})" if stay else deductible,
+        "DischargeDt": "CAST(date_add(shipped, stay_days - 1) AS STRING)",
+        "InscClaimAmtReimbursed": "amount",
+        "DeductibleAmtPaid": "deductible",
     }
     kind = "bronze.inpatientdata" if stay else "bronze.outpatientdata"
     return (
         lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-        .selectExpr("*", "CAST(l_shipdate AS DATE) AS shipped")
         .selectExpr(*[f"{columns[c]} AS {c}" for c in column_names(kind)])
     )
 

@@ -32,13 +32,14 @@ class TableStore:
     A table in a folder has versions. Every write adds one, whole or not at all, and leaves the data
     of the ones before alone, so readers and a writer that is lost disturb nobody. The last ``keep``
     versions stay; data that a lost writer left are in no version. The format "delta" has versions of
-    its own.
+    its own. ``codec`` compresses files of a versioned folder; without it the session's does.
     """
 
     spark: SparkSession
     root: str | None = None
     fmt: str = "parquet"
     keep: int = 2
+    codec: str | None = None
 
     def location(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
@@ -137,6 +138,8 @@ class TableStore:
         """Write rows to a folder of their own below the table's."""
         part = f"{DATA}/{WRITTEN}={uuid.uuid4().hex}"
         writer = df.write.format(self.fmt)
+        if self.codec:
+            writer = writer.option("compression", self.codec)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(f"{self.location(name)}/{part}")

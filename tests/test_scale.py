@@ -12,6 +12,7 @@ from tallyward.operators import features, silver, timeline
 from tallyward.operators import modeling as M
 from tallyward.operators.dedupe import dedupe
 from tallyward.plans import queries as Q
+from tallyward.sources import derived
 from tallyward.sources.store import TableStore
 from tallyward.streaming.ingest import FileIngest
 
@@ -124,3 +125,28 @@ def test_a_fit_makes_its_rows_once(spark):
     model = M.fit_forest(train.select(names), M.ForestSpec("small", trees=3, depth=2, partitions=2))
     assert made.value <= 2 * len(rows)
     assert model.stages[-1].getNumTrees == 3
+
+
+def shuffled_by(plan, key):
+    """What the columns of the rows are that go through the shuffles by a key, one list per shuffle."""
+    lines = re.split(r"\n", plan)
+    after = [b for a, b in zip(lines, lines[1:]) if re.search(rf"Exchange hashpartitioning\({key}#", a)]
+    return [re.findall(r"(?:AS )?(\w+)#\d+L?(?=[,\]])", b) for b in after]
+
+
+@pytest.mark.parametrize("grain", [Q.SUPPLIER, Q.PART, derived.LEARNABLE_GRAIN])
+def test_lines_are_shuffled_with_what_claims_need_alone(spark, sf_dir, grain):
+    """The join with orders gets an amount, not the four columns that it is made of."""
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(derived.inpatient(spark, sf_dir, grain))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    (lines,) = shuffled_by(plan, "l_orderkey")
+    assert "amount" in lines and not {"l_extendedprice", "l_discount", "l_tax", "l_returnflag"} & set(lines)
+
+
+def test_history_stores_claims_with_a_tight_codec(spark, sf_dir):
+    files = Q.history(spark, sf_dir).inputFiles()
+    assert sum(f.endswith(".zstd.parquet") for f in files) >= 2
