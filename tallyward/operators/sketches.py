@@ -23,14 +23,17 @@ def states(
 ) -> DataFrame:
     """(by, n, distinct_state, amount_state) of each group; nulls are in ``n`` alone.
 
-    Combined before the shuffle, so a hot group costs one state per task.
+    Rows of a group are brought together first, since a state costs far more than a row. A large
+    group stays in several parts, each of which is combined before the shuffle of states: a hot group
+    costs one state per task.
     """
     found = [F.count("*").alias("n")]
     if distinct:
         found.append(F.hll_sketch_agg(distinct, LOG_K).alias("distinct_state"))
     if amount:
         found.append(F.kll_sketch_agg_double(F.col(amount).cast("double"), KLL_K).alias("amount_state"))
-    return rows.groupBy(*by).agg(*found)
+    together = rows.select(*dict.fromkeys([*by, *filter(None, [distinct, amount])])).hint("rebalance", *by)
+    return together.groupBy(*by).agg(*found)
 
 
 def merged(stored: DataFrame, by: Sequence[str]) -> DataFrame:

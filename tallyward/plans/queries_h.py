@@ -165,18 +165,23 @@ def h06(spark, sf_dir):
 @query("h07_sketches")
 def h07(spark, sf_dir):
     """Figures of providers from states stored by provider and month, held against exact ones."""
-    claims = Q.stored_claims(spark, sf_dir).select(
-        "Provider",
-        F.trunc("ClaimStartDt", "month").alias("month"),
-        "BeneID",
-        F.col("InscClaimAmtReimbursed").alias("amount"),
+    claims = Q.stored(
+        Q.claims(spark, sf_dir).select(
+            "Provider",
+            F.trunc("ClaimStartDt", "month").alias("month"),
+            "BeneID",
+            F.col("InscClaimAmtReimbursed").alias("amount"),
+        )
     )
     stored = Q.stored(sketches.states(claims, ["Provider", "month"], "BeneID", "amount"))
-    found = sketches.merged(stored, ["Provider"]).select(
-        "Provider",
-        "n",
-        sketches.distinct_count().alias("about"),
-        sketches.quantile(0.5).alias("median"),
+    # stored, since both joins below read it
+    found = Q.stored(
+        sketches.merged(stored, ["Provider"]).select(
+            "Provider",
+            "n",
+            sketches.distinct_count().alias("about"),
+            sketches.quantile(0.5).alias("median"),
+        )
     )
     exact = (
         claims.join(found.select("Provider", "median"), "Provider")

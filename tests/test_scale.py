@@ -8,10 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyward.functions import scalars as S
-from tallyward.operators import features, silver, timeline
+from tallyward.operators import features, silver, sketches, timeline
 from tallyward.operators import modeling as M
 from tallyward.operators.dedupe import dedupe
 from tallyward.plans import queries as Q
+from tallyward.plans import queries_h as H
 from tallyward.sources import derived
 from tallyward.sources.store import TableStore
 from tallyward.streaming.ingest import FileIngest
@@ -150,3 +151,23 @@ def test_lines_are_shuffled_with_what_claims_need_alone(spark, sf_dir, grain):
 def test_history_stores_claims_with_a_tight_codec(spark, sf_dir):
     files = Q.history(spark, sf_dir).inputFiles()
     assert sum(f.endswith(".zstd.parquet") for f in files) >= 2
+
+
+def test_rows_of_a_group_meet_before_states_are_made(spark):
+    """20 groups over 10 partitions: states are made once per group, not once per group and task."""
+    rows = spark.createDataFrame([(f"p{i % 20}", f"b{i % 7}", float(i), "x") for i in range(400)], "p string, b string, a double, more string")
+    found = sketches.states(rows.repartition(10), ["p"], "b", "a")
+    plan = plan_of(found)
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    sizes = found.select("p", "n", sketches.distinct_count().alias("d"), sketches.quantile(1.0).alias("top"))
+    assert {tuple(r) for r in sizes.collect()} == {(f"p{g}", 20, 7, 380.0 + g) for g in range(20)}
+
+
+def test_sketches_make_the_figures_of_providers_once(spark, sf_dir, monkeypatch):
+    """Both joins read what was merged from the states, and claims are stored with four columns."""
+    written = []
+    stored = Q.stored
+    monkeypatch.setattr(Q, "stored", lambda df, *more: written.append(df.columns) or stored(df, *more))
+    H.QUERIES["h07_sketches"](spark, sf_dir)
+    assert written[0] == ["Provider", "month", "BeneID", "amount"]
+    assert written[-1] == ["Provider", "n", "about", "median"]
