@@ -100,6 +100,29 @@ def test_odd_tables(spark):
     assert without_repeats(df.limit(0)).count() == 0
 
 
+def test_planted_passages_show_in_n_removed_and_not_in_n_bytes(spark):
+    """Passages of over 50 words in two documents each: of 400 bytes or more they go, of 399 they stay."""
+    rng = random.Random(9)
+
+    def words(n):
+        return " ".join("".join(rng.choices("abcdefghijklm", k=rng.randint(3, 7))) for _ in range(n))
+
+    rows, planted = [], {}
+    for size in (399, 400, 700):
+        passage = words(size // 4)[:size]
+        assert len(passage.split()) > 50
+        for around in ("<>", "[]"):  # the bytes beside a passage differ, so it is no longer than it is
+            planted[len(rows)] = size
+            rows.append((len(rows), words(40) + around[0] + passage + around[1] + words(30)))
+    rows += [(len(rows) + n, words(150)) for n in range(6)]
+    got = without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert result(got) == brute(rows, 400)
+    for r in got.collect():
+        size = planted.get(r["doc_id"], 0)
+        assert r["n_bytes"] == len(rows[r["doc_id"]][1])
+        assert (r["n_removed"], r["n_spans"]) == ((size, 1) if size >= 400 else (0, 0))
+
+
 def test_levels_merge_geometrically(spark):
     from tallyward.sources.scratch import Scratch
 
