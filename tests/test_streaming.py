@@ -108,3 +108,39 @@ def test_a_hot_claim_is_one_row(spark, ingest):
     deliver(spark, ingest(), hot)
     got = ingest().run()
     assert got.count() == 49 and got.filter(F.col("ClaimID") == "c1").first()["amount"] == 0.0
+
+
+def state_files(ingest):
+    found = (name for _, _, names in os.walk(f"{ingest.checkpoint}/state") for name in names)
+    return {os.path.splitext(name)[1] for name in found if not name.startswith(".")}
+
+
+def test_state_is_on_disk_in_bounded_memory_and_the_session_keeps_its_settings(spark, ingest):
+    kind = "spark.sql.streaming.stateStore.providerClass"
+    bound = "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB"
+    before = spark.conf.get(kind)
+    spark.conf.set(bound, "77")
+    try:
+        deliver(spark, ingest(), claims(5, 20))
+        ingest().run()
+        assert (spark.conf.get(kind), spark.conf.get(kind, None)) == (before, None)
+        assert spark.conf.get(bound) == "77"
+    finally:
+        spark.conf.unset(bound)
+    assert ".zip" in state_files(ingest()) and ".delta" not in state_files(ingest())
+    with open(f"{ingest().checkpoint}/offsets/0") as note:
+        text = note.read()
+    assert "RocksDBStateStoreProvider" in text
+
+
+def test_a_checkpoint_with_state_on_the_heap_is_gone_on_with(spark, ingest, monkeypatch):
+    files = [deliver(spark, ingest(), claims(6, 20))]
+    with monkeypatch.context() as before:
+        before.setattr("tallyward.streaming.ingest.STATE_STORE", {})
+        ingest().run()
+    assert ".delta" in state_files(ingest())
+    files.append(deliver(spark, ingest(), claims(7, 20)))
+    files.append(deliver(spark, ingest(), claims(6, 20)))
+    got = ingest().run()
+    everything = files[0].unionByName(files[1]).unionByName(files[2])
+    assert rows(got) == rows(dedupe(everything, "ClaimID").select(got.columns))
